@@ -12,7 +12,7 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, delimiter: str
     Types come from ``schema``, so there is no inference pass over the data; only
     the header is read first, to learn the order of the columns. Columns outside
     the schema are not parsed. A file whose header differs from that order raises,
-    and a value that does not parse becomes NULL.
+    and an empty field or a value that does not parse becomes NULL.
     """
     options = {"header": True, "sep": delimiter}
     header = spark.read.options(**options).csv(path).columns
