@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,24 +21,30 @@ def centred_mean(
     out: str,
     chunks: int = 256,
 ) -> DataFrame:
-    """Mean of each row, the one before and the one after it in its group.
+    """``groups``, ``period``, ``tie`` and the mean of each row's value with those of
+    the row before and the row after it in its group.
 
     Rows are ordered by ``period``; within one, where the order is free, by a chunk
     number made from ``tie`` and ``value``, then by those two. A group is so cut into
     pieces of (period, chunk) that are sorted in separate tasks, however many rows it
     has; only the first and last value of each piece meet in one window per group, to
-    give the rows at the seams their neighbour. ``groups``, ``period`` and ``tie``
-    must not be NULL. NULL values are left out of the mean.
+    give the rows at the seams their neighbour. Both uses of the pieces have the same
+    columns and filters, so Spark shuffles the rows once. Rows with a NULL in
+    ``groups``, ``period`` or ``tie`` are left out, NULL values only of the mean.
     """
     piece = [*groups, period, "_chunk"]
-    whole = thousandths(F.col(value))
-    rows = df.withColumn("_whole", whole).withColumn(
-        "_chunk", F.pmod(F.col(tie) + F.coalesce("_whole", F.lit(0)), F.lit(chunks)).cast("int")
+    chunk = F.pmod(F.col(tie) + F.coalesce("_whole", F.lit(0)), F.lit(chunks)).cast("int")
+    rows = (
+        df.where(reduce(and_, [F.col(name).isNotNull() for name in (*groups, period, tie)]))
+        .withColumn("_whole", thousandths(F.col(value)))
+        .withColumn("_chunk", F.coalesce(chunk, F.lit(0)))
     )
 
     inside = Window.partitionBy(*piece).orderBy(tie, "_whole")
     linked = rows.select(
-        *rows.columns,
+        *piece,
+        tie,
+        "_whole",
         F.lag("_whole").over(inside).alias("_before"),
         F.lead("_whole").over(inside).alias("_after"),
         F.lag(F.lit(True), 1, False).over(inside).alias("_has_before"),
@@ -69,5 +77,5 @@ def centred_mean(
         linked.join(seams, piece)
         .withColumn("_frame", frame)
         .withColumn(out, F.try_divide(total.cast("double") / 1000, F.size("_frame")))
-        .select(*df.columns, out)
+        .select(*groups, period, tie, out)
     )

@@ -235,18 +235,24 @@ def moving_mean_of_records(
 ) -> DataFrame:
     """Report 9 as written: mean of each record and its two neighbours in time, per
     country and gas. Records of one month have no order in the report; see
-    `centred_mean` for the one chosen here."""
-    keys = ["country_code", "gas_id", "month_id"]
-    records = star.named(
-        star.emissions([*keys, "year", "id", "quantity"], year).na.drop(subset=keys),
-        "region",
-        "gas",
-        "month",
-        where=F.col("region") == region,
+    `centred_mean` for the one chosen here.
+
+    Names are added after the mean, so that only keys and quantities are shuffled.
+    """
+    places = star.places("region", where=F.col("region") == region)
+    records = (
+        star.emissions(["country_code", "gas_id", "month_id", "id", "quantity"], year)
+        .na.drop(subset=["country_code", "gas_id", "month_id"])
+        .join(places.select("country_code"), "country_code", "left_semi")
+        .join(star.calendar.select("month_id", "month"), "month_id")
+        .drop("month_id")
     )
     means = centred_mean(records, ["country_code", "gas_id"], "month", "id", "quantity", "moving_avg")
-    return means.orderBy("year", "month", "country", "gas", "id").select(
-        "country", "year", "month", "gas", "moving_avg"
+    return (
+        star.named(means, "country", "gas")
+        .withColumn("year", F.lit(year))
+        .orderBy("year", "month", "country", "gas", "id")
+        .select("country", "year", "month", "gas", "moving_avg")
     )
 
 
