@@ -156,17 +156,15 @@ def raw_fires(given: Given) -> DataFrame:
     parts = given.part.select("p_partkey", "p_type", "p_size")
     rows = given.lineitem.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
 
-    east, west = F.col("l_partkey").cast("string"), F.concat(F.lit("-"), F.col("l_partkey").cast("string"), F.lit(".5"))
-    north, south = F.col("l_suppkey").cast("string"), F.concat(F.lit("-"), F.col("l_suppkey").cast("string"), F.lit(".25"))
+    east = F.col("l_partkey").cast("string")
+    north = F.col("l_suppkey").cast("string")
+    west, south = F.concat(F.lit("-"), east, F.lit(".5")), F.concat(F.lit("-"), north, F.lit(".25"))
     corners = [F.concat_ws(" ", x, y) for x, y in ((east, north), (west, north), (west, south), (east, south))]
-    ring = F.concat_ws(",", *corners, corners[0])
-    polygon = (
-        F.when(F.col("l_linenumber") == 1, F.concat(F.lit("POLYGON (("), ring, F.lit("))")))
-        .when(
-            F.col("l_linenumber") == 2,
-            F.concat(F.lit("POLYGON(("), F.concat_ws(",", *corners), F.lit("))")),
-        )
-        .otherwise(F.concat(F.lit("POLYGON(("), ring, F.lit("))")))
+    line = F.col("l_linenumber")
+    polygon = F.concat(
+        F.when(line == 1, "POLYGON ((").otherwise("POLYGON(("),
+        F.concat_ws(",", *corners, F.when(line != 2, corners[0])),
+        F.lit("))"),
     )
     bad_time = (F.col("l_linenumber") == 7) & (F.col("l_quantity") == 50)
     # Price less discount has four decimals; made of whole numbers it is exact.

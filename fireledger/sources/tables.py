@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +28,18 @@ def create_tables(
         )
 
 
+@contextmanager
+def _all_partitions_replaced(spark: SparkSession):
+    """In dynamic mode an overwrite would leave partitions that have no new rows."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "static")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def overwrite_table(df: DataFrame, database: str, name: str) -> DataFrame:
     """Replace the rows of a warehouse table, keep its declared types, read it back.
 
@@ -40,7 +53,8 @@ def overwrite_table(df: DataFrame, database: str, name: str) -> DataFrame:
     rows = conform(df, TABLES[name])
     if keys:
         rows = rows.hint("rebalance", *keys)
-    rows.write.insertInto(f"`{database}`.`{name}`", overwrite=True)
+    with _all_partitions_replaced(spark):
+        rows.write.insertInto(f"`{database}`.`{name}`", overwrite=True)
     return spark.table(f"`{database}`.`{name}`")
 
 
