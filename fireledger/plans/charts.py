@@ -19,7 +19,7 @@ def _largest() -> Column:
 
 def grand_total(star: Star) -> DataFrame:
     """One number: the sum of all records."""
-    return total_by(star.emissions(["quantity"], None), value="quantity").select(
+    return total_by(star.emissions(["quantity"]), value="quantity").select(
         F.col("total").cast("double").alias("total_emission")
     )
 

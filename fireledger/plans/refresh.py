@@ -17,19 +17,26 @@ from fireledger.plans.location import (
 )
 from fireledger.schemas import RAW_COUNTRIES, RAW_FIRES, RAW_GASES
 from fireledger.session import stage
-from fireledger.sources import create_tables, overwrite_table, read_csv
+from fireledger.sources import create_tables, overwrite_table, read_csv, write_csv
 
 
 def refresh(
-    fires: DataFrame, countries: DataFrame, gases: DataFrame, database: str, folder: str
+    fires: DataFrame,
+    countries: DataFrame,
+    gases: DataFrame,
+    database: str,
+    folder: str,
+    location: str | None = None,
 ) -> dict[str, DataFrame]:
     """Clean the raw data and replace all tables of ``database``.
 
+    ``location`` is where a new database goes, by default the session's warehouse.
+
     The records are passed over three times: to clean them, for the monthly
     quantities behind all totals, and for the fact. Each step reads what the step
     before has written below ``folder``, which all executors must share.
     """
-    create_tables(fires.sparkSession, database, location=f"{folder}/warehouse")
+    create_tables(fires.sparkSession, database, location)
     cleaned = stage(clean_fires(fires), folder, "cleaned")
     monthly = stage(monthly_quantities(cleaned), folder, "monthly")
     listed = stage(countries, folder, "countries")
@@ -56,6 +63,7 @@ def refresh_from_files(
     gases_csv: str,
     database: str,
     folder: str,
+    location: str | None = None,
 ) -> dict[str, DataFrame]:
     """`refresh` from the three raw CSV files."""
     return refresh(
@@ -64,4 +72,12 @@ def refresh_from_files(
         read_csv(spark, gases_csv, RAW_GASES),
         database,
         folder,
+        location,
     )
+
+
+def export_csv(tables: dict[str, DataFrame], folder: str) -> None:
+    """Each dimension as one headed CSV file in a directory of its name."""
+    for name, table in tables.items():
+        if name != "gas_emission":
+            write_csv(table, f"{folder}/{name}", files=1)

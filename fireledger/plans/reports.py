@@ -34,7 +34,7 @@ def top_month(star: Star, year: int = 2015) -> DataFrame:
     )
 
 
-def _top_gases(star: Star, amounts: DataFrame, k: int) -> DataFrame:
+def top_gases(star: Star, amounts: DataFrame, k: int) -> DataFrame:
     """The ``k`` leading gases of each country and year, with ties."""
     gases = star.named(amounts.na.drop(subset=["year", "gas_id"]), "gas")
     keys = [c for c in gases.columns if c not in ("gas_id", "total")]
@@ -50,12 +50,12 @@ def country_total_per_top_gas(star: Star, k: int = 2) -> DataFrame:
     ranks come from one aggregation of the fact.
     """
     keys = ["country_code", "year", "gas_id"]
-    rows = star.emissions([*keys, "quantity"], None).where(F.col("country_code").isNotNull())
+    rows = star.emissions([*keys, "quantity"]).where(F.col("country_code").isNotNull())
     amounts = total_by(rows, *keys, value="quantity").withColumn(
         "all_time", F.sum("total").over(Window.partitionBy("country_code"))
     )
     counted = (
-        _top_gases(star, amounts, k)
+        top_gases(star, amounts, k)
         .groupBy("country_code", "year", "all_time")
         .agg((F.col("all_time") * F.count("*")).alias("amount"))
     )
@@ -68,7 +68,7 @@ def country_total_per_top_gas(star: Star, k: int = 2) -> DataFrame:
 
 def top_gases_running_total(star: Star, k: int = 2) -> DataFrame:
     """Report 2 as stated: running total over the years of the top ``k`` gases."""
-    top = _top_gases(star, star.totals("country_code", "year", "gas_id"), k)
+    top = top_gases(star, star.totals("country_code", "year", "gas_id"), k)
     yearly = top.groupBy("country_code", "year").agg(F.sum("total").alias("total"))
     so_far = (
         Window.partitionBy("country_code")
@@ -177,7 +177,7 @@ def country_and_global_means(star: Star) -> DataFrame:
     scans and shuffles it once for both.
     """
     amounts = total_by(
-        star.emissions(["country_code", "gas_id", "quantity"], None)
+        star.emissions(["country_code", "gas_id", "quantity"])
         .where(F.col("gas_id").isNotNull())
         .withColumn("country_code", F.coalesce("country_code", F.lit(""))),
         "country_code",
@@ -215,7 +215,7 @@ def largest_records(star: Star) -> DataFrame:
     """
     keys = ["year", "country_code", "gas_id"]
     largest = (
-        star.emissions([*keys, "quantity"], None)
+        star.emissions([*keys, "quantity"])
         .na.drop(subset=keys)
         .groupBy(*keys)
         .agg(F.max("quantity").alias("quantity"))
@@ -287,3 +287,22 @@ def continent_ranges(star: Star) -> DataFrame:
 def country_year_totals(star: Star) -> DataFrame:
     """Total by country and year."""
     return star.total_by("country", "year").select("country", "year", _double("total").alias("sum"))
+
+
+# Name on the command line -> report.
+REPORTS = {
+    "top_month": top_month,
+    "country_total_per_top_gas": country_total_per_top_gas,
+    "top_gases_running_total": top_gases_running_total,
+    "largest_yearly_increase": largest_yearly_increase,
+    "rank_change": rank_change,
+    "yearly_direction": yearly_direction,
+    "ranked_countries": ranked_countries,
+    "top_countries_by_gas": top_countries_by_gas,
+    "above_global_mean": above_global_mean,
+    "largest_records": largest_records,
+    "moving_mean_of_records": moving_mean_of_records,
+    "moving_mean_of_months": moving_mean_of_months,
+    "continent_ranges": continent_ranges,
+    "country_year_totals": country_year_totals,
+}

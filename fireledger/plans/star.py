@@ -7,8 +7,7 @@ aggregation leaves little to shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,20 +26,19 @@ FACT_KEY = {
 }
 
 
-@dataclass(frozen=True)
 class Star:
-    """``emissions(columns, year)`` gives columns of the fact, of one year if named.
+    """Reports over a fact and its dimensions, which a subclass provides."""
 
-    ``calendar`` is ``month_id, month, month_name, year``. The fact's ``year`` is
-    that of its month, NULL when the month is.
-    """
+    continents: DataFrame  # code, name
+    regions: DataFrame  # code, name, continent_code
+    countries: DataFrame  # code, name, region_code
+    gases: DataFrame  # id, name
+    calendar: DataFrame  # month_id, month, month_name, year
 
-    continents: DataFrame
-    regions: DataFrame
-    countries: DataFrame
-    gases: DataFrame
-    calendar: DataFrame
-    emissions: Callable[[Sequence[str], int | None], DataFrame]
+    def emissions(self, columns: Sequence[str], year: int | None = None) -> DataFrame:
+        """Columns of the fact, of one year if named. Its ``year`` is that of its
+        month, NULL when the month is."""
+        raise NotImplementedError
 
     def totals(self, *keys: str, year: int | None = None, records: str | None = None) -> DataFrame:
         """``keys`` and ``total`` over the records that have all of these keys."""
@@ -91,31 +89,29 @@ class Star:
         return total_by(rows, *dimensions, value="total")
 
 
-def star_of(tables: dict[str, DataFrame]) -> Star:
+class TableStar(Star):
     """The star over the warehouse tables.
 
     A fact table without the ``year`` column gets it from the month.
     """
-    lookup = time_lookup(tables["month"], tables["year"])
-    calendar = (
-        tables["month"]
-        .select(F.col("id").alias("month_id"), F.col("name").alias("month_name"))
-        .join(lookup, "month_id")
-        .select("month_id", F.col("num_value").alias("month"), "month_name", F.col("value").alias("year"))
-    )
-    fact = tables["gas_emission"]
-    if "year" not in fact.columns:
-        fact = fact.join(calendar.select("month_id", "year"), "month_id", "left")
-
-    def emissions(columns: Sequence[str], year: int | None = None) -> DataFrame:
-        rows = fact if year is None else fact.where(F.col("year") == year)
-        return rows.select(*columns)
 
-    return Star(
-        continents=tables["continent"],
-        regions=tables["region"],
-        countries=tables["country"],
-        gases=tables["gas"],
-        calendar=calendar,
-        emissions=emissions,
-    )
+    def __init__(self, tables: dict[str, DataFrame]):
+        self.continents = tables["continent"]
+        self.regions = tables["region"]
+        self.countries = tables["country"]
+        self.gases = tables["gas"]
+        lookup = time_lookup(tables["month"], tables["year"])
+        self.calendar = (
+            tables["month"]
+            .select(F.col("id").alias("month_id"), F.col("name").alias("month_name"))
+            .join(lookup, "month_id")
+            .select("month_id", F.col("num_value").alias("month"), "month_name", F.col("value").alias("year"))
+        )
+        self._fact = tables["gas_emission"]
+        if "year" not in self._fact.columns:
+            years = self.calendar.select("month_id", "year")
+            self._fact = self._fact.join(years, "month_id", "left")
+
+    def emissions(self, columns: Sequence[str], year: int | None = None) -> DataFrame:
+        rows = self._fact if year is None else self._fact.where(F.col("year") == year)
+        return rows.select(*columns)

@@ -46,7 +46,7 @@ def _on_star(name: str):
     """Register a query that takes the star."""
 
     def register(query: Callable[[Star], DataFrame]):
-        _QUERIES[name] = lambda spark, folder: query(standin.star(spark, folder))
+        _QUERIES[name] = lambda spark, folder: query(standin.StandInStar(spark, folder))
         return query
 
     return register
@@ -130,7 +130,7 @@ def sink_table_overwrite(spark, folder):
     work = work_folder(spark)
     database = _database(work)
     create_tables(spark, database, location=work)
-    star = standin.star(spark, folder)
+    star = standin.StandInStar(spark, folder)
     for year in (YEAR, None):
         rows = star.emissions(TABLES["gas_emission"].names, year)
         written = overwrite_table(rows, database, "gas_emission")
@@ -158,7 +158,7 @@ def ddl_star_schema(spark, folder):
 
 def _star_tables(spark, folder) -> dict[str, DataFrame]:
     """The stand-in star as seven tables, without rolled-up totals."""
-    star = standin.star(spark, folder)
+    star = standin.StandInStar(spark, folder)
     none = F.lit(None).cast("string")
     no_total = F.lit(None).cast("double").alias("total_gas_emission")
     years = star.calendar.select(F.col("year").cast("long").alias("id"), F.col("year").alias("value"))
@@ -316,7 +316,7 @@ def join_inner_star(star):
 @_on_star("join_comma_mixed")
 def join_comma_mixed(star):
     """Report 2 as its text joins it, with the fact summed by country beforehand."""
-    top = reports._top_gases(star, star.totals("country_code", "year", "gas_id"), 2)
+    top = reports.top_gases(star, star.totals("country_code", "year", "gas_id"), 2)
     whole = total_by(
         star.emissions(["country_code", "quantity"]), "country_code", value="quantity", out="amount"
     )
@@ -611,6 +611,7 @@ def _refreshed(spark, folder) -> dict[str, DataFrame]:
         standin.raw_gases(given),
         _database(work),
         work,
+        location=f"{work}/warehouse",
     )
 
 

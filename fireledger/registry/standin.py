@@ -12,6 +12,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,13 +22,15 @@ from fireledger.plans.star import Star
 
 
 class Given:
-    """The given tables of one folder."""
+    """The given tables of one folder, each opened when first used."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self._spark, self._folder = spark, folder
 
     def __getattr__(self, table: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._folder}/{table}.parquet")
+        rows = self._spark.read.parquet(f"{self._folder}/{table}.parquet")
+        setattr(self, table, rows)
+        return rows
 
 
 # --- the star the reports read ----------------------------------------------
@@ -42,76 +45,67 @@ def _gas_key() -> Column:
     return F.conv(F.substring(F.md5("p_type"), 1, 15), 16, 10).cast("long")
 
 
-def continents(given: Given) -> DataFrame:
-    return given.region.select(_text("r_regionkey").alias("code"), F.col("r_name").alias("name"))
+class StandInStar(Star):
+    """The star over the given tables."""
 
-
-def regions(given: Given) -> DataFrame:
-    return given.nation.select(
-        _text("n_nationkey").alias("code"),
-        F.col("n_name").alias("name"),
-        _text("n_regionkey").alias("continent_code"),
-    )
-
-
-def countries(given: Given) -> DataFrame:
-    return given.supplier.select(
-        _text("s_suppkey").alias("code"),
-        F.col("s_name").alias("name"),
-        _text("s_nationkey").alias("region_code"),
-    )
-
-
-def gases(given: Given) -> DataFrame:
-    return given.part.select(_gas_key().alias("id"), F.col("p_type").alias("name")).distinct()
-
-
-def _month_id() -> Column:
-    return (F.year("l_shipdate") * 100 + F.month("l_shipdate")).cast("long")
-
-
-def calendar(given: Given) -> DataFrame:
-    months = given.lineitem.select(
-        F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month")
-    ).distinct()
-    return months.select(
-        (F.col("year") * 100 + F.col("month")).cast("long").alias("month_id"),
-        "month",
-        month_name(F.col("month")).alias("month_name"),
-        "year",
-    )
-
-
-def star(spark: SparkSession, folder: str) -> Star:
-    given = Given(spark, folder)
-    columns = {
-        "id": F.col("l_orderkey") * 8 + F.col("l_linenumber"),
-        "quantity": F.col("l_extendedprice"),
-        "country_code": _text("l_suppkey"),
-        "month_id": _month_id(),
-        "year": F.year("l_shipdate"),
-        "gas_id": F.col("gas_id"),
-    }
-
-    def emissions(names: Sequence[str], year: int | None = None) -> DataFrame:
-        rows = given.lineitem
+    def __init__(self, spark: SparkSession, folder: str):
+        self._given = Given(spark, folder)
+
+    @cached_property
+    def continents(self) -> DataFrame:
+        return self._given.region.select(_text("r_regionkey").alias("code"), F.col("r_name").alias("name"))
+
+    @cached_property
+    def regions(self) -> DataFrame:
+        return self._given.nation.select(
+            _text("n_nationkey").alias("code"),
+            F.col("n_name").alias("name"),
+            _text("n_regionkey").alias("continent_code"),
+        )
+
+    @cached_property
+    def countries(self) -> DataFrame:
+        return self._given.supplier.select(
+            _text("s_suppkey").alias("code"),
+            F.col("s_name").alias("name"),
+            _text("s_nationkey").alias("region_code"),
+        )
+
+    @cached_property
+    def gases(self) -> DataFrame:
+        types = self._given.part.select("p_type").distinct()
+        return types.select(_gas_key().alias("id"), F.col("p_type").alias("name"))
+
+    @cached_property
+    def calendar(self) -> DataFrame:
+        months = self._given.lineitem.select(
+            F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month")
+        ).distinct()
+        return months.select(
+            (F.col("year") * 100 + F.col("month")).cast("long").alias("month_id"),
+            "month",
+            month_name(F.col("month")).alias("month_name"),
+            "year",
+        )
+
+    def emissions(self, columns: Sequence[str], year: int | None = None) -> DataFrame:
+        rows = self._given.lineitem
         if year is not None:
             start = F.lit(f"{year}-01-01").cast("timestamp_ntz")
             end = F.lit(f"{year + 1}-01-01").cast("timestamp_ntz")
             rows = rows.where((F.col("l_shipdate") >= start) & (F.col("l_shipdate") < end))
-        if "gas_id" in names:
-            parts = given.part.select("p_partkey", _gas_key().alias("gas_id"))
+        if "gas_id" in columns:
+            parts = self._given.part.select("p_partkey", _gas_key().alias("gas_id"))
             rows = rows.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
-        return rows.select([columns[name].alias(name) for name in names])
-
-    return Star(
-        continents=continents(given),
-        regions=regions(given),
-        countries=countries(given),
-        gases=gases(given),
-        calendar=calendar(given),
-        emissions=emissions,
-    )
+        made = {
+            "id": F.col("l_orderkey") * 8 + F.col("l_linenumber"),
+            "quantity": F.col("l_extendedprice"),
+            "country_code": _text("l_suppkey"),
+            "month_id": (F.year("l_shipdate") * 100 + F.month("l_shipdate")).cast("long"),
+            "year": F.year("l_shipdate"),
+            "gas_id": F.col("gas_id"),
+        }
+        return rows.select([made[name].alias(name) for name in columns])
 
 
 # --- the raw files the jobs read --------------------------------------------

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 # Settings the plans rely on. All but the time zone are Spark defaults, repeated
 # so that a session built with other defaults still gets them.
 SETTINGS = {
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -44,7 +45,6 @@ def work_folder(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="fireledger-")
-        spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/fireledger-{uuid.uuid4().hex}"
 
 

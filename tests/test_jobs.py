@@ -1,11 +1,12 @@
 import pytest
 from conftest import TESTDATA
 
+from fireledger.__main__ import main
 from fireledger.operators import audits
-from fireledger.plans import calendar, gases, location
+from fireledger.plans import calendar, gases, location, reports
 from fireledger.plans.fact import emission_fact
 from fireledger.plans.refresh import refresh, refresh_from_files
-from fireledger.plans.star import star_of
+from fireledger.plans.star import TableStar
 from fireledger.registry import standin
 from fireledger.schemas import RAW_COUNTRIES, RAW_GASES, TABLES
 from fireledger.session import work_folder
@@ -133,7 +134,7 @@ def test_refresh_gives_typed_tables_and_valid_keys(refreshed):
 def test_refresh_keeps_the_whole(refreshed):
     raw, _, _, tables = refreshed
     assert tables["gas_emission"].count() == raw[0].count()
-    star = star_of(tables)
+    star = TableStar(tables)
     fires = star.emissions(["quantity"], None).selectExpr("sum(quantity)").first()[0]
     years = tables["year"].selectExpr("sum(total_gas_emission)").first()[0]
     assert abs(fires - years) < 1e-6 * years
@@ -160,8 +161,23 @@ def test_refresh_from_csv_files(spark, refreshed):
 
 def test_star_reads_one_year_and_accepts_a_fact_without_it(spark, refreshed):
     tables = read_tables(spark, refreshed[1])
-    star = star_of(tables)
+    star = TableStar(tables)
     plan = star.totals("month_id", year=1998)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in plan
-    plain = star_of({**tables, "gas_emission": tables["gas_emission"].drop("year")})
+    plain = TableStar({**tables, "gas_emission": tables["gas_emission"].drop("year")})
     assert rows(plain.total_by("continent", "gas", "year")) == rows(star.total_by("continent", "gas", "year"))
+
+
+def test_command_line(spark, refreshed):
+    raw, database, _, _ = refreshed
+    folder = work_folder(spark)
+    for name, df in zip(("fires", "countries", "gases"), raw):
+        write_csv(df, f"{folder}/raw/{name}")
+    paths = [f"{folder}/raw/{name}" for name in ("fires", "countries", "gases")]
+    main(["refresh", *paths, "--database", "cli", "--csv", f"{folder}/csv"])
+    main(["report", "continent_ranges", f"{folder}/report", "--database", "cli"])
+    exported = spark.read.csv(f"{folder}/csv/year", header=True)
+    assert exported.count() == read_tables(spark, database)["year"].count()
+    expected = reports.continent_ranges(TableStar(read_tables(spark, database)))
+    written = spark.read.csv(f"{folder}/report", header=True, schema=expected.schema)
+    assert rows(written) == rows(expected)

@@ -8,7 +8,7 @@ import pytest
 from fireledger.operators.neighbours import centred_mean
 from fireledger.operators.ranking import rank_large, top_ranked
 from fireledger.plans import charts, reports
-from fireledger.plans.star import star_of
+from fireledger.plans.star import TableStar
 
 CONTINENTS = [("E", "Europe"), ("A", "Asia"), ("N", "America")]
 REGIONS = [("SE", "Southern Europe", None, "E"), ("EA", "Eastern Asia", None, "A"), ("NA", "Northern America", None, "N")]
@@ -38,7 +38,7 @@ def make_star(spark, records):
     def df(rows, columns):
         return spark.createDataFrame(rows, columns)
 
-    return star_of(
+    return TableStar(
         {
             "continent": df(CONTINENTS, "code string, name string"),
             "region": df(REGIONS, "code string, name string, total_gas_emission double, continent_code string"),
