@@ -46,7 +46,7 @@ def main(argv: list[str] | None = None) -> None:
             export_csv(tables, arguments.csv)
     else:
         star = TableStar(read_tables(spark, arguments.database))
-        write_csv(REPORTS[arguments.name](star), arguments.output, files=1)
+        write_csv(REPORTS[arguments.name](star), arguments.output)
 
 
 if __name__ == "__main__":

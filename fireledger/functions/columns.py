@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The input formats and the country code folded into another.
+# The formats of the raw records and the country code that is folded
+# into another.
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+RING_PATTERN = r"POLYGON\(\(([-\d.]+ [-\d.]+,[-\d.]+ [-\d.]+,[-\d.]+ [-\d.]+,[-\d.]+ [-\d.]+,[-\d.]+ [-\d.]+)\)\)"
 RING_POINTS = 5
 FOLDED_CODES = {"XKX": "SRB"}
 
-_POINT = r"[-\d.]+ [-\d.]+"
-RING_PATTERN = r"POLYGON\(\((" + ",".join([_POINT] * RING_POINTS) + r")\)\)"
-
 
 def rounded_quantity(quantity: Column) -> Column:
     """Three decimals, half up."""

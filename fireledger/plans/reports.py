@@ -231,13 +231,15 @@ def largest_records(star: Star) -> DataFrame:
 
 
 def moving_mean_of_records(
-    star: Star, region: str = "Northern America", year: int = 2021
+    star: Star, region: str = "Northern America", year: int = 2021, chunks: int = 256
 ) -> DataFrame:
     """Report 9 as written: mean of each record and its two neighbours in time, per
     country and gas. Records of one month have no order in the report; see
     `centred_mean` for the one chosen here.
 
     Names are added after the mean, so that only keys and quantities are shuffled.
+    Raise ``chunks`` where a country has more records of a gas and month than that
+    many tasks can sort.
     """
     places = star.places("region", where=F.col("region") == region)
     records = (
@@ -247,7 +249,8 @@ def moving_mean_of_records(
         .join(star.calendar.select("month_id", "month"), "month_id")
         .drop("month_id")
     )
-    means = centred_mean(records, ["country_code", "gas_id"], "month", "id", "quantity", "moving_avg")
+    keys = ["country_code", "gas_id"]
+    means = centred_mean(records, keys, "month", "id", "quantity", "moving_avg", chunks)
     return (
         star.named(means, "country", "gas")
         .withColumn("year", F.lit(year))

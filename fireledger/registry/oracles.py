@@ -223,7 +223,7 @@ _ORACLES = {
     "src_table": """
         SELECT CAST(s_suppkey AS VARCHAR) AS code, s_name AS name, n_name AS region
         FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
-    "sink_csv_overwrite": _jobs("SELECT alpha_3, gas, emissions_quantity, year, month FROM cleaned"),
+    "sink_csv_overwrite": _jobs("SELECT * FROM year_dim"),
     "sink_table_overwrite": _star("""
         SELECT id, quantity, CAST(l_suppkey AS VARCHAR) AS country_code, month_id, gas, year FROM emission"""),
     "ddl_star_schema": _star(_DDL),

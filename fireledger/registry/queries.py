@@ -91,7 +91,7 @@ def _double(name: str, alias: str | None = None):
 @_key("src_csv_file")
 def src_csv_file(spark, folder):
     path = work_folder(spark)
-    write_csv(standin.raw_countries(Given(spark, folder)), path, files=1)
+    write_csv(standin.raw_countries(Given(spark, folder)), path)
     return read_csv(spark, path, RAW_COUNTRIES).withColumnsRenamed(
         {name: name.replace("-", "_") for name in RAW_COUNTRIES.names}
     )
@@ -119,10 +119,11 @@ def src_table(spark, folder):
 
 @_key("sink_csv_overwrite")
 def sink_csv_overwrite(spark, folder):
+    """The country list, replaced by the year dimension in a single file."""
     path, given = work_folder(spark), Given(spark, folder)
-    write_csv(standin.raw_countries(given), path, files=1)
-    write_csv(clean_fires(standin.raw_fires(given)), path, files=5)
-    return read_csv(spark, path, CLEANED_FIRES).select("alpha_3", "gas", "emissions_quantity", "year", "month")
+    write_csv(standin.raw_countries(given), path)
+    write_csv(calendar.year_dim(clean_fires(standin.raw_fires(given))), path, files=1)
+    return read_csv(spark, path, TABLES["year"])
 
 
 @_key("sink_table_overwrite")

@@ -18,7 +18,8 @@ def _table(**columns) -> StructType:
     return StructType([StructField(name, kind()) for name, kind in columns.items()])
 
 
-# Raw files: the columns the jobs use. Codes are text, so leading zeros stay.
+# The column names of the raw files and of the tables.
+# Of the raw files only the columns the jobs use. Codes are text, so leading zeros stay.
 RAW_FIRES = _table(
     iso3_country=StringType,
     original_inventory_sector=StringType,

@@ -28,8 +28,9 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, delimiter: str
 def write_csv(df: DataFrame, path: str, files: int | None = None) -> None:
     """Replace ``path`` with headed CSV part files.
 
-    ``files`` bounds their number for exports. It shuffles the result rather than
-    coalescing, which would run the whole job in that many tasks.
+    ``files`` bounds their number for exports of small results, as that many tasks
+    write all rows. It shuffles the result rather than coalescing, which would run the
+    whole last stage in that many tasks.
     """
     if files is not None:
         df = df.repartition(files)
