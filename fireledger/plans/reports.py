@@ -241,15 +241,11 @@ def moving_mean_of_records(
     Raise ``chunks`` where a country has more records of a gas and month than that
     many tasks can sort.
     """
-    places = star.places("region", where=F.col("region") == region)
-    records = (
-        star.emissions(["country_code", "gas_id", "month_id", "id", "quantity"], year)
-        .na.drop(subset=["country_code", "gas_id", "month_id"])
-        .join(places.select("country_code"), "country_code", "left_semi")
-        .join(star.calendar.select("month_id", "month"), "month_id")
-        .drop("month_id")
-    )
     keys = ["country_code", "gas_id"]
+    rows = star.emissions([*keys, "month_id", "id", "quantity"], year)
+    records = star.named(
+        rows.na.drop(subset=[*keys, "month_id"]), "region", "month", where=F.col("region") == region
+    ).select(*keys, "month", "id", "quantity")
     means = centred_mean(records, keys, "month", "id", "quantity", "moving_avg", chunks)
     return (
         star.named(means, "country", "gas")

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fireledger.functions.totals import total_by
-from fireledger.plans.calendar import time_lookup
 
 # Dimension -> the fact key that leads to it.
 FACT_KEY = {
@@ -33,7 +32,7 @@ class Star:
     regions: DataFrame  # code, name, continent_code
     countries: DataFrame  # code, name, region_code
     gases: DataFrame  # id, name
-    calendar: DataFrame  # month_id, month, month_name, year
+    months: DataFrame  # id, name, num_value
 
     def emissions(self, columns: Sequence[str], year: int | None = None) -> DataFrame:
         """Columns of the fact, of one year if named. Its ``year`` is that of its
@@ -48,37 +47,47 @@ class Star:
     def named(self, rows: DataFrame, *dimensions: str, where: Column | None = None) -> DataFrame:
         """Add the name of each dimension; rows without a match are dropped.
 
-        ``where`` may test any of the names.
+        A region comes with its country, a continent with both. ``where`` may test any
+        of the names. Each table is joined by itself rather than as part of a joined
+        lookup: Catalyst takes the size of a join for the product of its sides, and
+        would not broadcast such a lookup however small its tables are.
         """
-        if {"country", "region", "continent"} & set(dimensions):
-            rows = rows.join(self.places(*dimensions, where=where), "country_code")
-        if "gas" in dimensions:
-            rows = rows.join(self.gases.select(F.col("id").alias("gas_id"), F.col("name").alias("gas")), "gas_id")
-        if "month" in dimensions:
-            rows = rows.join(self.calendar.select("month_id", "month", "month_name"), "month_id")
-        return rows
-
-    def places(self, *dimensions: str, where: Column | None = None) -> DataFrame:
-        """``country_code, country`` and, if asked for, ``region`` and ``continent``."""
-        places = self.countries.select(
-            F.col("code").alias("country_code"), F.col("name").alias("country"), "region_code"
-        )
-        kept = ["country_code", "country"]
-        if {"region", "continent"} & set(dimensions):
-            regions = self.regions.select(
-                F.col("code").alias("region_code"), F.col("name").alias("region"), "continent_code"
+        wanted = set(dimensions)
+        if wanted & {"country", "region", "continent"}:
+            rows = rows.join(
+                self.countries.select(
+                    F.col("code").alias("country_code"), F.col("name").alias("country"), "region_code"
+                ),
+                "country_code",
+            )
+        if wanted & {"region", "continent"}:
+            rows = rows.join(
+                self.regions.select(
+                    F.col("code").alias("region_code"), F.col("name").alias("region"), "continent_code"
+                ),
+                "region_code",
             )
-            places = places.join(regions, "region_code")
-            kept.append("region")
-        if "continent" in dimensions:
-            continents = self.continents.select(
-                F.col("code").alias("continent_code"), F.col("name").alias("continent")
+        if "continent" in wanted:
+            rows = rows.join(
+                self.continents.select(
+                    F.col("code").alias("continent_code"), F.col("name").alias("continent")
+                ),
+                "continent_code",
             )
-            places = places.join(continents, "continent_code")
-            kept.append("continent")
-        if where is not None:
-            places = places.where(where)
-        return places.select(*kept)
+        if "gas" in wanted:
+            gases = self.gases.select(F.col("id").alias("gas_id"), F.col("name").alias("gas"))
+            rows = rows.join(gases, "gas_id")
+        if "month" in wanted:
+            rows = self.dated(rows)
+        rows = rows.drop("region_code", "continent_code")
+        return rows if where is None else rows.where(where)
+
+    def dated(self, rows: DataFrame) -> DataFrame:
+        """Add ``month`` and ``month_name`` for ``month_id``."""
+        months = self.months.select(
+            F.col("id").alias("month_id"), F.col("num_value").alias("month"), F.col("name").alias("month_name")
+        )
+        return rows.join(months, "month_id")
 
     def total_by(
         self, *dimensions: str, year: int | None = None, where: Column | None = None
@@ -100,17 +109,12 @@ class TableStar(Star):
         self.regions = tables["region"]
         self.countries = tables["country"]
         self.gases = tables["gas"]
-        lookup = time_lookup(tables["month"], tables["year"])
-        self.calendar = (
-            tables["month"]
-            .select(F.col("id").alias("month_id"), F.col("name").alias("month_name"))
-            .join(lookup, "month_id")
-            .select("month_id", F.col("num_value").alias("month"), "month_name", F.col("value").alias("year"))
-        )
+        self.months = tables["month"]
         self._fact = tables["gas_emission"]
         if "year" not in self._fact.columns:
-            years = self.calendar.select("month_id", "year")
-            self._fact = self._fact.join(years, "month_id", "left")
+            months = tables["month"].select(F.col("id").alias("month_id"), "year_id")
+            years = tables["year"].select(F.col("id").alias("year_id"), F.col("value").alias("year"))
+            self._fact = self._fact.join(months, "month_id", "left").join(years, "year_id", "left")
 
     def emissions(self, columns: Sequence[str], year: int | None = None) -> DataFrame:
         rows = self._fact if year is None else self._fact.where(F.col("year") == year)

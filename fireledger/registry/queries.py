@@ -162,18 +162,13 @@ def _star_tables(spark, folder) -> dict[str, DataFrame]:
     star = standin.StandInStar(spark, folder)
     none = F.lit(None).cast("string")
     no_total = F.lit(None).cast("double").alias("total_gas_emission")
-    years = star.calendar.select(F.col("year").cast("long").alias("id"), F.col("year").alias("value"))
+    years = star.months.select(F.col("year_id").alias("id"), F.col("year_id").cast("int").alias("value"))
     return {
         "continent": star.continents,
         "region": star.regions.select("*", no_total),
         "country": star.countries.select("*", none.alias("alpha_3"), none.alias("alpha_2"), no_total),
         "year": years.distinct().select("*", no_total),
-        "month": star.calendar.select(
-            F.col("month_id").alias("id"),
-            F.col("month_name").alias("name"),
-            F.col("month").alias("num_value"),
-            F.col("year").cast("long").alias("year_id"),
-        ),
+        "month": star.months,
         "gas": star.gases.select("*", F.col("name").alias("chemical_label")),
         "gas_emission": star.emissions(TABLES["gas_emission"].names),
     }
@@ -321,7 +316,7 @@ def join_comma_mixed(star):
     whole = total_by(
         star.emissions(["country_code", "quantity"]), "country_code", value="quantity", out="amount"
     )
-    years = star.calendar.select(F.col("year").alias("value")).distinct()
+    years = star.months.select(F.col("year_id").cast("int").alias("value")).distinct()
     names = star.gases.select(F.col("name").alias("gas_name"))
     joined = (
         top.join(years, F.col("year") == F.col("value"))

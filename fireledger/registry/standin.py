@@ -77,17 +77,22 @@ class StandInStar(Star):
         return types.select(_gas_key().alias("id"), F.col("p_type").alias("name"))
 
     @cached_property
-    def calendar(self) -> DataFrame:
+    def months(self) -> DataFrame:
         months = self._given.lineitem.select(
-            F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month")
+            F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("num_value")
         ).distinct()
         return months.select(
-            (F.col("year") * 100 + F.col("month")).cast("long").alias("month_id"),
-            "month",
-            month_name(F.col("month")).alias("month_name"),
-            "year",
+            (F.col("year") * 100 + F.col("num_value")).cast("long").alias("id"),
+            month_name(F.col("num_value")).alias("name"),
+            "num_value",
+            F.col("year").cast("long").alias("year_id"),
         )
 
+    def dated(self, rows: DataFrame) -> DataFrame:
+        """The key holds the month, so there is nothing to look up."""
+        month = (F.col("month_id") % 100).cast("int")
+        return rows.withColumns({"month": month, "month_name": month_name(month)})
+
     def emissions(self, columns: Sequence[str], year: int | None = None) -> DataFrame:
         rows = self._given.lineitem
         if year is not None:

@@ -5,7 +5,10 @@ import re
 import pytest
 from conftest import TESTDATA
 
+from fireledger.plans import reports
 from fireledger.plans.cleaning import clean_fires
+from fireledger.plans.refresh import refresh
+from fireledger.plans.star import TableStar
 from fireledger.registry import standin
 from fireledger.registry.queries import registered
 from fireledger.session import stage, work_folder
@@ -62,6 +65,26 @@ def test_records_are_summed_before_any_join(spark):
     assert "Join" in above and "Join" not in below.split("FileScan")[0]
 
 
+@pytest.fixture(scope="module")
+def stored(spark):
+    """Warehouse tables of the given data, with all dimensions small."""
+    folder = work_folder(spark)
+    given = standin.Given(spark, str(TESTDATA / "sf0.01"))
+    raw = standin.raw_fires(given), standin.raw_countries(given), standin.raw_gases(given)
+    return refresh(*raw, "p_" + folder[-12:], folder, f"{folder}/warehouse")
+
+
+@pytest.mark.parametrize("with_year", [True, False])
+def test_records_of_stored_tables_are_not_shuffled_for_a_join(stored, with_year):
+    fact = stored["gas_emission"] if with_year else stored["gas_emission"].drop("year")
+    star = TableStar({**stored, "gas_emission": fact})
+    rows = star.emissions(["country_code", "month_id", "quantity", "year"])
+    named = plan(star.named(rows, "continent", "month"))
+    assert "SortMergeJoin" not in named and "Exchange hashpartitioning" not in named
+    # The one shuffled join of the moving mean is that of its pieces.
+    assert plan(reports.moving_mean_of_records(star, "NATION_1", 2000)).count("SortMergeJoin") <= 1
+
+
 def test_fact_joins_stored_dimensions_without_a_shuffle(spark):
     text = plan(registered()["job_fact_emission"](spark, FOLDER))
     assert text.count("BroadcastHashJoin") == 3 and "hashpartitioning" not in text
