@@ -43,6 +43,12 @@ def test_quantities_are_scanned_once(spark, name):
     assert scans(executed(registered()[name](spark, folder)), "l_extendedprice") == 1
 
 
+def test_share_takes_the_whole_from_the_same_totals(spark):
+    df = registered()["chart_share"](spark, FOLDER)
+    df.collect()
+    assert re.search(r"ReusedExchange \[gas#", plan(df))
+
+
 @pytest.mark.parametrize("name", ["q02_literal", "q03_max_yoy_increase", "q06_top3_by_gas_year", "q08_largest_record"])
 def test_top_rows_are_cut_before_the_shuffle(spark, name):
     text = plan(registered()[name](spark, FOLDER))

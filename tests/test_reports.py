@@ -11,7 +11,11 @@ from fireledger.plans import charts, reports
 from fireledger.plans.star import TableStar
 
 CONTINENTS = [("E", "Europe"), ("A", "Asia"), ("N", "America")]
-REGIONS = [("SE", "Southern Europe", None, "E"), ("EA", "Eastern Asia", None, "A"), ("NA", "Northern America", None, "N")]
+REGIONS = [
+    ("SE", "Southern Europe", None, "E"),
+    ("EA", "Eastern Asia", None, "A"),
+    ("NA", "Northern America", None, "N"),
+]
 COUNTRIES = [
     ("it", "Italy", "SE"),
     ("gr", "Greece", "SE"),
@@ -125,7 +129,10 @@ def test_rank_change_and_direction(spark):
 
 
 def test_ranked_countries(spark):
-    star = make_star(spark, [("jp", 1, 2020, 1, 1.0), ("kr", 1, 2020, 2, 1.0), ("it", 1, 2020, 1, 9.0), ("jp", 1, 2019, 1, 5.0)])
+    star = make_star(
+        spark,
+        [("jp", 1, 2020, 1, 1.0), ("kr", 1, 2020, 2, 1.0), ("it", 1, 2020, 1, 9.0), ("jp", 1, 2019, 1, 5.0)],
+    )
     assert rows(reports.ranked_countries(star)) == [(2020, "Japan", 1.0, 1), (2020, "Korea", 1.0, 1)]
 
 
@@ -139,7 +146,13 @@ def test_top_countries_keep_ties(spark):
 def test_means_count_all_records_of_the_gas(spark):
     star = make_star(
         spark,
-        [("it", 1, 2015, 1, 9.0), ("it", 1, 2015, 1, None), ("gr", 1, 2015, 1, 2.0), (None, 1, 2015, 1, 1.0), ("it", None, 2015, 1, 99.0)],
+        [
+            ("it", 1, 2015, 1, 9.0),
+            ("it", 1, 2015, 1, None),
+            ("gr", 1, 2015, 1, 2.0),
+            (None, 1, 2015, 1, 1.0),
+            ("it", None, 2015, 1, 99.0),
+        ],
     )
     assert rows(reports.country_and_global_means(star)) == [
         ("Greece", "Carbon", 2.0, 4.0),
@@ -151,14 +164,21 @@ def test_means_count_all_records_of_the_gas(spark):
 def test_largest_record_needs_all_names(spark):
     star = make_star(
         spark,
-        [("it", 1, 2015, 1, 5.0), ("gr", 1, 2015, 2, 5.0), (None, 1, 2015, 1, 50.0), ("it", 9, 2015, 1, 50.0), ("us", 2, 2016, 1, 1.0)],
+        [
+            ("it", 1, 2015, 1, 5.0),
+            ("gr", 1, 2015, 2, 5.0),
+            (None, 1, 2015, 1, 50.0),
+            ("it", 9, 2015, 1, 50.0),
+            ("us", 2, 2016, 1, 1.0),
+        ],
     )
     assert rows(reports.largest_records(star)) == [("Greece", 2015, "Carbon", 5.0), ("States", 2016, "Methane", 1.0)]
 
 
 def test_moving_means(spark):
     quantities = [("us", 1, 2021, m, q) for m, q in ((1, 3.0), (1, 6.0), (2, 9.0), (3, None), (5, 12.0))]
-    star = make_star(spark, [*quantities, ("us", 1, 2020, 12, 50.0), ("it", 1, 2021, 1, 70.0), ("us", None, 2021, 1, 8.0)])
+    others = [("us", 1, 2020, 12, 50.0), ("it", 1, 2021, 1, 70.0), ("us", None, 2021, 1, 8.0)]
+    star = make_star(spark, [*quantities, *others])
     months = rows(reports.moving_mean_of_months(star))
     assert [r[2:] for r in months] == [(1, "Carbon", 9.0), (2, "Carbon", 9.0), (3, "Carbon", 10.5), (5, "Carbon", 12.0)]
     records = reports.moving_mean_of_records(star).collect()
@@ -168,14 +188,18 @@ def test_moving_means(spark):
 
 
 def test_continent_ranges_and_plain_sums(spark):
-    star = make_star(spark, [("it", 1, 2015, 1, 5.0), ("gr", 1, 2016, 1, 2.0), ("jp", 1, 2015, 1, 1.0), ("aq", 1, 2015, 1, 40.0)])
+    star = make_star(
+        spark,
+        [("it", 1, 2015, 1, 5.0), ("gr", 1, 2016, 1, 2.0), ("jp", 1, 2015, 1, 1.0), ("aq", 1, 2015, 1, 40.0)],
+    )
     assert [tuple(r) for r in reports.continent_ranges(star).collect()] == [("Europe", 3.0), ("Asia", 0.0)]
     assert ("Antarctica", 2015, 40.0) in rows(reports.country_year_totals(star))
 
 
 def test_charts(spark):
     star = make_star(
-        spark, [("it", 1, 2015, 1, 6.0), ("it", 2, 2015, 1, 1.0), ("jp", 1, 2015, 1, 3.0), (None, None, None, None, 90.0)]
+        spark,
+        [("it", 1, 2015, 1, 6.0), ("it", 2, 2015, 1, 1.0), ("jp", 1, 2015, 1, 3.0), (None, None, None, None, 90.0)],
     )
     assert rows(charts.grand_total(star)) == [(100.0,)]
     assert [tuple(r) for r in charts.shares(star, "gas").collect()] == [("Carbon", 9.0, 0.9), ("Methane", 1.0, 0.1)]
@@ -199,7 +223,8 @@ def test_charts(spark):
 
 def test_rank_large_is_rank(spark):
     rng = random.Random(3)
-    values = [None, 0.0, 0.001, -0.001, 1e15, -1e15] + [rng.choice([-1, 1]) * 10 ** rng.uniform(-3, 9) for _ in range(300)]
+    values = [None, 0.0, 0.001, -0.001, 1e15, -1e15]
+    values += [rng.choice([-1, 1]) * 10 ** rng.uniform(-3, 9) for _ in range(300)]
     data = [(g, v) for g in "ab" for v in values + [5.0] * 40]
     df = spark.createDataFrame(data, "g string, v double").selectExpr("g", "cast(v as decimal(38,3)) as v")
     expected = df.selectExpr("g", "v", "rank() over (partition by g order by v desc nulls last) as r")
