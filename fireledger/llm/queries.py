@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fireledger.llm import chat, mixing
+from fireledger.llm import chat, langid, mixing
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -140,3 +140,18 @@ SELECT g.conv_id, count(*) AS n_turns,
   CAST(any_value(formatted_chars) AS BIGINT) AS formatted_chars, any_value(n_windows) AS n_windows
 FROM counted g JOIN totals USING (conv_id) GROUP BY g.conv_id
 """
+
+
+def _remainder(n: int):
+    """crc32 of the id as text, modulo n."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+@_register
+def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned from three quarters of them."""
+    docs = _documents(spark, folder)
+    learned = langid.learn(docs, _remainder(4) != 2)
+    return langid.predict(docs.select("doc_id", "text"), learned).select(
+        "doc_id", (_remainder(4) == 2).alias("held_out"), "lang_pred", F.col("lang_score").alias("score")
+    )
