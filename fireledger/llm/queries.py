@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fireledger.llm import chat, langid, mixing
+from fireledger.llm import chat, grades, langid, mixing, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -155,3 +155,39 @@ def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", "text"), learned).select(
         "doc_id", (_remainder(4) == 2).alias("held_out"), "lang_pred", F.col("lang_score").alias("score")
     )
+
+
+def _labels(spark: SparkSession, folder: str, label) -> DataFrame:
+    """Label by document; the largest, should a document have several."""
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    return labels.groupBy("doc_id").agg(F.max(label).alias("label")).filter(F.col("label").isNotNull())
+
+
+@_register
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document, learned from two thirds of the labels."""
+    docs = _documents(spark, folder).select("doc_id", "text")
+    labels = _labels(spark, folder, F.col("toxic")).filter(_remainder(3) != 1)
+    model = toxicity.learn(docs.join(labels, "doc_id"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        (_remainder(3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
+@_register
+def op10_quality_grades(spark: SparkSession, folder: str) -> DataFrame:
+    """Grades of every document, learned from two thirds of the labels.
+
+    Grade 0: low quality; 1: good but toxic; 2: good.
+    """
+    docs = _documents(spark, folder).select("doc_id", "text")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").filter(_remainder(3) != 1)
+    rated = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when(F.col("quality") == 1, 2)
+    labels = labels.groupBy("doc_id").agg(F.min(rated).alias("grade")).filter(F.col("grade").isNotNull())
+    model = grades.learn(docs.join(labels, "doc_id"), levels=3)
+    return grades.grade(docs, model, levels=3).select(
+        "doc_id", (_remainder(3) == 1).alias("held_out"), "expected_grade", "p_tail", "selected"
+    )
