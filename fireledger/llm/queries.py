@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fireledger.llm import chat, grades, langid, mixing, toxicity
+from fireledger.llm import chat, grades, jaccard, langid, mixing, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -191,3 +191,34 @@ def op10_quality_grades(spark: SparkSession, folder: str) -> DataFrame:
     return grades.grade(docs, model, levels=3).select(
         "doc_id", (_remainder(3) == 1).alias("held_out"), "expected_grade", "p_tail", "selected"
     )
+
+
+@_register
+def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents whose four-word shingles agree by 85 percent."""
+    return jaccard.similar_components(_documents(spark, folder), width=4, percent=85)
+
+
+ORACLES["op7_jaccard_join"] = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT doc_id, CASE WHEN len(w) < 4 THEN array_to_string(w, ' ')
+    ELSE array_to_string(w[i:i + 3], ' ') END AS s
+  FROM split, LATERAL (SELECT unnest(generate_series(1, greatest(len(w) - 3, 1))) AS i) WHERE len(w) > 0
+  GROUP BY ALL),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * common >= 85 * (p.n + q.n - common)),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION
+  SELECT r.doc_id, l.y FROM reach r JOIN (SELECT x, y FROM links UNION ALL SELECT y, x FROM links) l ON l.x = r.other)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id
+FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
