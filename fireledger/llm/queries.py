@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fireledger.llm import chat, grades, jaccard, langid, mixing, toxicity
+from fireledger.llm import chat, grades, jaccard, langid, mixing, repeats, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -222,3 +222,16 @@ reach AS (
 SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id
 FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
 """
+
+
+@_register
+def op2_remove_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of each document without the passages of 50 bytes that an earlier one holds."""
+    left = repeats.without_repeats(_documents(spark, folder).select("doc_id", "text"))
+    return left.select(
+        "doc_id",
+        F.col("pfp_bytes").alias("n_bytes"),
+        F.col("pfp_removed").alias("n_removed"),
+        F.col("pfp_spans").alias("n_spans"),
+        F.col("pfp_sha256").alias("kept_sha256"),
+    )
