@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fireledger.llm import chat, grades, jaccard, langid, mixing, repeats, toxicity
+from fireledger.llm import chat, decontaminate, grades, jaccard, langid, mixing, repeats, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -235,3 +235,15 @@ def op2_remove_repeats(spark: SparkSession, folder: str) -> DataFrame:
         F.col("pfp_spans").alias("n_spans"),
         F.col("pfp_sha256").alias("kept_sha256"),
     )
+
+
+@_register
+def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents that hold test items, give or take a tenth of an item's bytes in edits."""
+    items = spark.read.parquet(f"{folder}/benchmark.parquet")
+    hits = decontaminate.test_hits(_documents(spark, folder), items)
+    return hits.groupBy("doc_id").agg(
+        F.lit(True).alias("contaminated"),
+        F.sort_array(F.collect_set("item_id")).alias("item_ids"),
+        F.min("edits").alias("least_edits"),
+    )
