@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fireledger.llm import chat, decontaminate, grades, jaccard, langid, mixing, repeats, toxicity
+from fireledger.llm import chat, decontaminate, grades, jaccard, langid, lmscore, mixing, repeats, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -247,3 +247,11 @@ def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
         F.sort_array(F.collect_set("item_id")).alias("item_ids"),
         F.min("edits").alias("least_edits"),
     )
+
+
+@_register
+def op4_loss_difference(spark: SparkSession, folder: str) -> DataFrame:
+    """Loss of every document under a model of well rated documents minus that under one of all."""
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    good = labels.filter((F.col("quality") == 1) & (F.col("toxic") == 0))
+    return lmscore.loss_difference(_documents(spark, folder), good)
