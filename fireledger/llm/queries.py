@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fireledger.llm import chat, decontaminate, grades, jaccard, langid, lmscore, mixing, repeats, toxicity
+from fireledger.llm import chat, decontaminate, grades, jaccard, langid, lmscore, mixing, outliers, repeats, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -255,3 +255,9 @@ def op4_loss_difference(spark: SparkSession, folder: str) -> DataFrame:
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     good = labels.filter((F.col("quality") == 1) & (F.col("toxic") == 0))
     return lmscore.loss_difference(_documents(spark, folder), good)
+
+
+@_register
+def op5_robust_outliers(spark: SparkSession, folder: str) -> DataFrame:
+    """Base rules and robust outliers of language and source over all documents."""
+    return outliers.judged(_documents(spark, folder))
