@@ -23,7 +23,7 @@ def top_ranked(
     return df.withColumn(rank, F.rank().over(order)).where(F.col(rank) <= k)
 
 
-def _magnitude(value: Column) -> Column:
+def magnitude(value: Column) -> Column:
     """A whole number that never falls as ``value`` rises; lowest for NULL."""
     number = value.cast("double")
     size = F.floor(F.log2(F.abs(number) + 1) * _STEPS)
@@ -31,14 +31,26 @@ def _magnitude(value: Column) -> Column:
 
 
 def rank_large(df: DataFrame, groups: Sequence[str], value: str, rank: str) -> DataFrame:
-    """RANK by ``value``, largest first, for groups of any size.
+    """RANK by ``value``, largest first, for groups of any size."""
+    return _placed(df, groups, value, rank, F.rank(), [])
 
-    A plain window sorts a whole group in one task. Here the rows are ranked within
+
+def number_large(
+    df: DataFrame, groups: Sequence[str], value: str, number: str, ties: Sequence[str]
+) -> DataFrame:
+    """ROW_NUMBER by ``value``, largest first, then ``ties``, for groups of any size."""
+    return _placed(df, groups, value, number, F.row_number(), ties)
+
+
+def _placed(
+    df: DataFrame, groups: Sequence[str], value: str, out: str, function: Column, ties: Sequence[str]
+) -> DataFrame:
+    """A plain window sorts a whole group in one task. Here the rows are ranked within
     narrow buckets of the value, and each bucket adds the number of rows in the
     buckets above it. The only window over a whole group runs on bucket counts, of
     which a double range allows about 65 thousand.
     """
-    bucketed = df.withColumn("_bucket", _magnitude(F.col(value)))
+    bucketed = df.withColumn("_bucket", magnitude(F.col(value)))
     bucket = [*groups, "_bucket"]
     higher = (
         Window.partitionBy(*groups)
@@ -50,10 +62,10 @@ def rank_large(df: DataFrame, groups: Sequence[str], value: str, rank: str) -> D
         .agg(F.count("*").alias("_rows"))
         .select(*bucket, F.coalesce(F.sum("_rows").over(higher), F.lit(0)).alias("_above"))
     )
-    inside = Window.partitionBy(*bucket).orderBy(F.col(value).desc_nulls_last())
+    inside = Window.partitionBy(*bucket).orderBy(F.col(value).desc_nulls_last(), *ties)
     return (
-        bucketed.withColumn("_inside", F.rank().over(inside))
+        bucketed.withColumn("_inside", function.over(inside))
         .join(above, bucket)
-        .withColumn(rank, (F.col("_above") + F.col("_inside")).cast("int"))
-        .select(*df.columns, rank)
+        .withColumn(out, (F.col("_above") + F.col("_inside")).cast("int"))
+        .select(*df.columns, out)
     )

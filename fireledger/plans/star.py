@@ -39,13 +39,21 @@ class Star:
         month, NULL when the month is."""
         raise NotImplementedError
 
-    def totals(self, *keys: str, year: int | None = None, records: str | None = None) -> DataFrame:
-        """``keys`` and ``total`` over the records that have all of these keys."""
-        rows = self.emissions([*keys, "quantity"], year).na.drop(subset=list(keys))
+    def totals(
+        self, *keys: str, year: int | None = None, records: str | None = None, complete: bool = False
+    ) -> DataFrame:
+        """``keys`` and ``total`` over the records that have all of these keys, or with
+        ``complete`` over all records."""
+        rows = self.emissions([*keys, "quantity"], year)
+        if not complete:
+            rows = rows.na.drop(subset=list(keys))
         return total_by(rows, *keys, value="quantity", records=records)
 
-    def named(self, rows: DataFrame, *dimensions: str, where: Column | None = None) -> DataFrame:
-        """Add the name of each dimension; rows without a match are dropped.
+    def named(
+        self, rows: DataFrame, *dimensions: str, where: Column | None = None, how: str = "inner"
+    ) -> DataFrame:
+        """Add the name of each dimension; rows without a match are dropped, or with
+        ``how="left"`` kept without a name.
 
         A region comes with its country, a continent with both. ``where`` may test any
         of the names. Each table is joined by itself rather than as part of a joined
@@ -59,6 +67,7 @@ class Star:
                     F.col("code").alias("country_code"), F.col("name").alias("country"), "region_code"
                 ),
                 "country_code",
+                how,
             )
         if wanted & {"region", "continent"}:
             rows = rows.join(
@@ -66,6 +75,7 @@ class Star:
                     F.col("code").alias("region_code"), F.col("name").alias("region"), "continent_code"
                 ),
                 "region_code",
+                how,
             )
         if "continent" in wanted:
             rows = rows.join(
@@ -73,28 +83,35 @@ class Star:
                     F.col("code").alias("continent_code"), F.col("name").alias("continent")
                 ),
                 "continent_code",
+                how,
             )
         if "gas" in wanted:
             gases = self.gases.select(F.col("id").alias("gas_id"), F.col("name").alias("gas"))
-            rows = rows.join(gases, "gas_id")
+            rows = rows.join(gases, "gas_id", how)
         if "month" in wanted:
-            rows = self.dated(rows)
+            rows = self.dated(rows, how)
         rows = rows.drop("region_code", "continent_code")
         return rows if where is None else rows.where(where)
 
-    def dated(self, rows: DataFrame) -> DataFrame:
+    def dated(self, rows: DataFrame, how: str = "inner") -> DataFrame:
         """Add ``month`` and ``month_name`` for ``month_id``."""
         months = self.months.select(
             F.col("id").alias("month_id"), F.col("num_value").alias("month"), F.col("name").alias("month_name")
         )
-        return rows.join(months, "month_id")
+        return rows.join(months, "month_id", how)
 
     def total_by(
-        self, *dimensions: str, year: int | None = None, where: Column | None = None
+        self,
+        *dimensions: str,
+        year: int | None = None,
+        where: Column | None = None,
+        complete: bool = False,
     ) -> DataFrame:
-        """Names of ``dimensions`` and the exact ``total`` of each combination."""
+        """Names of ``dimensions`` and the exact ``total`` of each combination; with
+        ``complete`` records without a name make NULL lines."""
         keys = list(dict.fromkeys(FACT_KEY[d] for d in dimensions))
-        rows = self.named(self.totals(*keys, year=year), *dimensions, where=where)
+        totals = self.totals(*keys, year=year, complete=complete)
+        rows = self.named(totals, *dimensions, where=where, how="left" if complete else "inner")
         return total_by(rows, *dimensions, value="total")
 
 

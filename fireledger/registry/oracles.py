@@ -210,9 +210,9 @@ _MEANS = """
     GROUP BY country, gas
 """
 _PAIRS = """SELECT gas, country, CAST(sum(q) AS DOUBLE) AS total_emission FROM rec GROUP BY gas, country
-            ORDER BY sum(q) DESC, gas, country LIMIT {0}"""
-# The order within a month that `centred_mean` chooses: chunk, id, quantity.
-_RECORD_ORDER = "month, (id + CAST(q * 1000 AS BIGINT)) % 256, id, q"
+            ORDER BY sum(q) DESC, gas, country"""
+# The order within a month that `centred_mean` chooses.
+_RECORD_ORDER = "month, q NULLS FIRST"
 
 _ORACLES = {
     "src_csv_file": _raw("SELECT * FROM listed"),
@@ -411,12 +411,11 @@ _ORACLES = {
     "chart_stacked": _star("""
         SELECT region, gas, CAST(total AS DOUBLE) AS total_emission,
                CAST(sum(total) OVER (PARTITION BY region) AS DOUBLE) AS axis_total
-        FROM (SELECT region, gas, sum(q) AS total FROM rec GROUP BY ALL
-              ORDER BY total DESC, region, gas LIMIT 10000)"""),
+        FROM (SELECT region, gas, sum(q) AS total FROM rec GROUP BY ALL)"""),
     "chart_top_pairs": _star(f"""
         SELECT *, CAST(ceil(row_number() OVER (ORDER BY total_emission DESC, gas, country) / 10) AS INTEGER) AS page
-        FROM ({_PAIRS.format(1000)})"""),
-    "chart_bar_pairs": _star(_PAIRS.format(10000)),
+        FROM ({_PAIRS})"""),
+    "chart_bar_pairs": _star(_PAIRS),
 }
 
 

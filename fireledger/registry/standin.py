@@ -88,7 +88,7 @@ class StandInStar(Star):
             F.col("year").cast("long").alias("year_id"),
         )
 
-    def dated(self, rows: DataFrame) -> DataFrame:
+    def dated(self, rows: DataFrame, how: str = "inner") -> DataFrame:
         """The key holds the month, so there is nothing to look up."""
         month = (F.col("month_id") % 100).cast("int")
         return rows.withColumns({"month": month, "month_name": month_name(month)})

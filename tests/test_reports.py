@@ -4,6 +4,8 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 from fireledger.operators.neighbours import centred_mean
 from fireledger.operators.ranking import rank_large, top_ranked
@@ -202,23 +204,25 @@ def test_charts(spark):
         [("it", 1, 2015, 1, 6.0), ("it", 2, 2015, 1, 1.0), ("jp", 1, 2015, 1, 3.0), (None, None, None, None, 90.0)],
     )
     assert rows(charts.grand_total(star)) == [(100.0,)]
-    assert [tuple(r) for r in charts.shares(star, "gas").collect()] == [("Carbon", 9.0, 0.9), ("Methane", 1.0, 0.1)]
-    assert [tuple(r) for r in charts.stacked(star, "continent", "gas").collect()] == [
+    shares = [tuple(r) for r in charts.shares(star, "gas").collect()]
+    assert shares == [(None, 90.0, 0.9), ("Carbon", 9.0, 0.09), ("Methane", 1.0, 0.01)]
+    stacked = [
         ("Asia", "Carbon", 3.0, 3.0),
         ("Europe", "Carbon", 6.0, 7.0),
         ("Europe", "Methane", 1.0, 7.0),
+        (None, None, 90.0, 90.0),
     ]
-    assert [tuple(r) for r in charts.stacked(star, "continent", "gas", limit=2).collect()] == [
-        ("Asia", "Carbon", 3.0, 3.0),
-        ("Europe", "Carbon", 6.0, 6.0),
-    ]
-    pairs = charts.top_pairs(star, "gas", "country", page_rows=2)
-    assert rows(pairs) == [
+    assert [tuple(r) for r in charts.stacked(star, "continent", "gas").collect()] == stacked
+    assert [tuple(r) for r in charts.stacked(star, "continent", "gas", limit=2).collect()] == stacked[:2]
+    pairs = [
+        (None, None, 90.0, 1),
         ("Carbon", "Italy", 6.0, 1),
-        ("Carbon", "Japan", 3.0, 1),
+        ("Carbon", "Japan", 3.0, 2),
         ("Methane", "Italy", 1.0, 2),
     ]
-    assert charts.bar_pairs(star, "gas", "country", limit=1).collect()[0].country == "Italy"
+    assert [tuple(r) for r in charts.top_pairs(star, "gas", "country", page_rows=2).collect()] == pairs
+    assert [tuple(r) for r in charts.top_pairs(star, "gas", "country", 3, page_rows=2).collect()] == pairs[:3]
+    assert charts.bar_pairs(star, "gas", "country", limit=2).collect()[1].country == "Italy"
 
 
 def test_rank_large_is_rank(spark):
@@ -236,25 +240,34 @@ def test_top_ranked_puts_null_last(spark):
     assert rows(top_ranked(df, ["g"], "v", 1, "r")) == [("a", -1.0, 1), ("b", None, 1)]
 
 
-@pytest.mark.parametrize("chunks", [1, 2, 7, 256])
-def test_centred_mean_against_brute_force(spark, chunks):
-    rng = random.Random(chunks)
+@pytest.mark.parametrize("files", [1, 7])
+def test_centred_mean_against_brute_force(spark, files, monkeypatch):
+    monkeypatch.setattr("fireledger.operators.neighbours._SLICE", 16)
+    rng = random.Random(5)
     data = []
     for i in range(900):
         group = "hot" if i % 3 else rng.choice("abcde")
         value = rng.choice([None, 2.5, rng.randrange(10**7) / 1000, -rng.randrange(10**5) / 1000])
-        data.append((group, rng.randrange(1, 6), i, value))
-    df = spark.createDataFrame(data, "g string, month int, id long, v double").repartition(5)
-    got = {r.id: r.m for r in centred_mean(df, ["g"], "month", "id", "v", "m", chunks).collect()}
+        data.append((group, rng.randrange(1, 6), value))
+    data += [(None, 1, 1.0), ("a", None, 1.0)]
+    df = spark.createDataFrame(data, "g string, month int, v double").repartition(files)
+    got = sorted(map(repr, centred_mean(df, ["g"], "month", "v", "m").collect()))
 
     groups = defaultdict(list)
-    for g, month, i, v in data:
-        whole = round(v * 1000) if v is not None else None
-        groups[g].append((month, (i + (whole or 0)) % chunks, i, whole))
-    expected = {}
-    for members in groups.values():
-        members.sort(key=lambda r: r[:3])
-        for n, (_, _, i, _) in enumerate(members):
-            near = [w for *_, w in members[max(n - 1, 0) : n + 2] if w is not None]
-            expected[i] = sum(near) / 1000 / len(near) if near else None
-    assert got == expected
+    for g, month, v in data[:900]:
+        groups[g].append((month, round(v * 1000) if v is not None else None))
+    expected = []
+    for g, members in groups.items():
+        members.sort(key=lambda r: (r[0], r[1] is not None, r[1]))
+        for n, (month, _) in enumerate(members):
+            near = [w for _, w in members[max(n - 1, 0) : n + 2] if w is not None]
+            expected.append(Row(g=g, month=month, m=sum(near) / 1000 / len(near) if near else None))
+    assert got == sorted(map(repr, expected))
+
+
+def test_centred_mean_deals_equal_values_out(spark):
+    equal = spark.range(50_000).selectExpr("'g' as g", "1 as month", "2.5 as v")
+    means = centred_mean(equal, ["g"], "month", "v", "m")
+    filled = means.groupBy(F.spark_partition_id()).count().collect()
+    assert len(filled) > 1
+    assert sum(r["count"] for r in filled) == 50_000

@@ -25,6 +25,11 @@ def test_sum_beyond_a_long_of_thousandths(spark):
     assert total_by(df, value="q").first().total == Decimal("3.6e16")
 
 
+def test_sum_of_more_records_than_a_long_of_thousandths_holds(spark):
+    df = spark.range(2_200_000_000).selectExpr("4294967.295D * 1000 as q")
+    assert total_by(df, value="q").first().total == 2_200_000_000 * Decimal("4294967295")
+
+
 def test_totals_of_totals(spark):
     df = spark.createDataFrame([("a", 1, 0.1), ("a", 2, 0.2), ("b", 1, 0.3)], "k string, m int, q double")
     once = total_by(df, "k", "m", value="q", out="q")
