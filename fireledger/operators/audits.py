@@ -11,11 +11,15 @@ from fireledger.schemas import FOREIGN_KEYS, PRIMARY_KEYS
 
 
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
-    """Key values held by more than one row: ``key_value, records``."""
+    """Key values held by more than one row: ``key_value, records``.
+
+    Rows are grouped by the key as it is; only breaches become text.
+    """
     return (
-        df.groupBy(F.col(key).cast("string").alias("key_value"))
+        df.groupBy(F.col(key).alias("_key"))
         .agg(F.count("*").alias("records"))
         .where("records > 1")
+        .select(F.col("_key").cast("string").alias("key_value"), "records")
     )
 
 
@@ -39,6 +43,17 @@ def null_counts(df: DataFrame, *columns: str) -> DataFrame:
     return counted.unpivot([], list(columns), "column_name", "nulls")
 
 
+def quantity_report(fact: DataFrame, value: str = "quantity") -> DataFrame:
+    """Records that exact sums cannot take as they are: ``not_finite, finer`` (than thousandths)."""
+    number = F.col(value)
+    finite = F.abs(number) < F.lit(float("inf"))
+    rounded = F.abs(number * 1000 - F.rint(number * 1000))
+    finer = finite & (rounded > F.greatest(F.abs(number * 1000) * 1e-15, F.lit(1e-6)))
+    return fact.agg(
+        F.count_if(number.isNotNull() & ~finite).alias("not_finite"), F.count_if(finer).alias("finer")
+    )
+
+
 def _labelled(parts: list[tuple[str, DataFrame]]) -> DataFrame:
     labelled = [df.select(F.lit(name).alias("rule"), "key_value", "records") for name, df in parts]
     return reduce(DataFrame.unionByName, labelled)
@@ -68,3 +83,12 @@ def not_null_report(tables: dict[str, DataFrame]) -> DataFrame:
         for t, key in PRIMARY_KEYS.items()
     ]
     return reduce(DataFrame.unionByName, parts)
+
+
+def key_reports(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The three key rules by name."""
+    return {
+        "primary_key": primary_key_report(tables),
+        "foreign_key": foreign_key_report(tables),
+        "not_null": not_null_report(tables),
+    }

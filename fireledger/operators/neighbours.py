@@ -44,9 +44,12 @@ def centred_mean(
         .withColumn("_piece", magnitude(F.col("_whole")))
     )
     along = Window.partitionBy(*groups).orderBy(period, "_piece")
+    # With the count in it, this use of the runs has the columns of the other, and Spark
+    # makes them once.
+    present = F.when(F.col("_rows") > 0, F.col("_whole"))
     ends = (
         runs.groupBy(*piece)
-        .agg(F.min("_whole").alias("_head"), F.max("_whole").alias("_tail"))
+        .agg(F.min(present).alias("_head"), F.max(present).alias("_tail"))
         .select(
             *piece,
             F.lag("_tail").over(along).alias("_tail_before"),

@@ -1,40 +1,46 @@
 """Year and month dimensions, and the lookup the fact uses.
 
-``fires`` is the cleaned records or their monthly quantities. Keys number the
-values in their natural order, NULL last, so a rebuild gives the same keys. The
-window that numbers them is over one row per calendar year or month.
+``fires`` is the cleaned records or their monthly quantities. Keys come from the values
+(the year; year * 100 + month; 0 for records without a time), so new periods leave
+the keys of others as they are.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fireledger.functions.columns import month_name
 from fireledger.functions.totals import total_by
 
 
-def _numbered(*order: str):
-    keys = [F.col(name).asc_nulls_last() for name in order]
-    return F.row_number().over(Window.orderBy(*keys)).cast("long")
+def _year_id():
+    return F.coalesce(F.col("year"), F.lit(0)).cast("long")
 
 
 def year_dim(fires: DataFrame) -> DataFrame:
     """``id, value, total_gas_emission``; records without a time make one NULL year."""
     return total_by(fires, "year", value="emissions_quantity").select(
-        _numbered("year").alias("id"),
+        _year_id().alias("id"),
         F.col("year").alias("value"),
         F.col("total").cast("double").alias("total_gas_emission"),
     )
 
 
 def month_dim(fires: DataFrame, years: DataFrame) -> DataFrame:
-    """``id, name, num_value, year_id``: the months that occur, per year."""
+    """``id, name, num_value, year_id``: the months that occur, per year.
+
+    ``year_id`` is NULL where ``years`` lacks the year, as for records without a time.
+    """
     months = fires.select("month", "year").distinct()
-    numbered = months.withColumn("id", _numbered("year", "month"))
-    return numbered.join(
+    return months.join(
         years.select(F.col("id").alias("year_id"), "value"), F.col("year") == F.col("value"), "left"
-    ).select("id", month_name(F.col("month")).alias("name"), F.col("month").alias("num_value"), "year_id")
+    ).select(
+        (_year_id() * 100 + F.coalesce("month", F.lit(0))).alias("id"),
+        month_name(F.col("month")).alias("name"),
+        F.col("month").alias("num_value"),
+        "year_id",
+    )
 
 
 def time_lookup(months: DataFrame, years: DataFrame) -> DataFrame:

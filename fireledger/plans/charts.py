@@ -79,3 +79,12 @@ def top_pairs(
         (F.floor((F.col("_place") - 1) / page_rows) + 1).cast("int").alias("page"),
     )
     return _cut(rows, limit)
+
+
+CHARTS = {
+    "bar_pairs": bar_pairs,
+    "grand_total": grand_total,
+    "shares": shares,
+    "stacked": stacked,
+    "top_pairs": top_pairs,
+}

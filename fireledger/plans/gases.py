@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def gas_dim(gases: DataFrame) -> DataFrame:
-    """``id, name, chemical_label``, numbered in the order of the label.
+def gas_key(label: Column) -> Column:
+    """A number made from the label, so that a new gas leaves the keys of others as they are."""
+    return F.conv(F.substring(F.md5(F.coalesce(label, F.lit(""))), 1, 15), 16, 10).cast("long")
+
 
-    The list holds one row per gas, so numbering it in a single window is cheap.
-    """
-    order = Window.orderBy(F.col("`chemical-label`").asc_nulls_last(), F.col("name").asc_nulls_last())
-    return gases.select(
-        F.row_number().over(order).cast("long").alias("id"),
-        "name",
-        F.col("`chemical-label`").alias("chemical_label"),
-    )
+def gas_dim(gases: DataFrame) -> DataFrame:
+    """``id, name, chemical_label``; a label listed twice breaks the key and shows in the audit."""
+    label = F.col("`chemical-label`")
+    return gases.select(gas_key(label).alias("id"), "name", label.alias("chemical_label"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fireledger.operators.audits import key_reports, quantity_report
 from fireledger.plans.calendar import month_dim, time_lookup, year_dim
 from fireledger.plans.cleaning import clean_fires, monthly_quantities
 from fireledger.plans.fact import emission_fact
@@ -34,7 +35,9 @@ def refresh(
 
     The records are passed over three times: to clean them, for the monthly
     quantities behind all totals, and for the fact. Each step reads what the step
-    before has written below ``folder``, which all executors must share.
+    before has written below ``folder``, which all executors must share. The next
+    refresh with the same folder overwrites these steps, so one copy of the cleaned
+    records remains.
     """
     create_tables(fires.sparkSession, database, location)
     cleaned = stage(clean_fires(fires), folder, "cleaned")
@@ -76,6 +79,18 @@ def refresh_from_files(
     )
 
 
+def write_audits(tables: dict[str, DataFrame], folder: str) -> None:
+    """The key rules and the quantities that sums cannot take, as headed CSV directories."""
+    reports = {**key_reports(tables), "quantities": quantity_report(tables["gas_emission"])}
+    for name, report in reports.items():
+        write_csv(report, f"{folder}/{name}")
+
+
+def export_cleaned(spark: SparkSession, folder: str, path: str) -> None:
+    """The cleaned records that a refresh left below ``folder``, as headed CSV part files."""
+    write_csv(spark.read.parquet(f"{folder}/cleaned"), path)
+
+
 def export_csv(tables: dict[str, DataFrame], folder: str) -> None:
     """Each dimension as one headed CSV file in a directory of its name."""
     for name, table in tables.items():

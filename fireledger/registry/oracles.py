@@ -85,15 +85,15 @@ _JOBS = _RAW + f""", cleaned AS (
     SELECT sub_region_code, CAST(sum(q) AS DOUBLE) AS total_gas_emission FROM located
     WHERE sub_region_code IS NOT NULL GROUP BY 1
 ), year_dim AS (
-    SELECT row_number() OVER (ORDER BY year NULLS LAST) AS id, year AS value,
+    SELECT CAST(coalesce(year, 0) AS BIGINT) AS id, year AS value,
            CAST(sum(q) AS DOUBLE) AS total_gas_emission
     FROM cleaned GROUP BY year
 ), month_dim AS (
-    SELECT row_number() OVER (ORDER BY year NULLS LAST, month NULLS LAST) AS id,
+    SELECT CAST(coalesce(year, 0) * 100 + coalesce(month, 0) AS BIGINT) AS id,
            monthname(make_date(2000, month, 1)) AS name, month AS num_value, y.id AS year_id
     FROM (SELECT DISTINCT year, month FROM cleaned) LEFT JOIN year_dim y ON year = value
 ), gas_dim AS (
-    SELECT row_number() OVER (ORDER BY p_type) AS id, lower(p_type) AS name, p_type AS chemical_label
+    SELECT CAST('0x' || substr(md5(p_type), 1, 15) AS BIGINT) AS id, lower(p_type) AS name, p_type AS chemical_label
     FROM (SELECT DISTINCT p_type FROM part)
 ), lookup AS (
     SELECT year_id, num_value, m.id AS month_id, value
@@ -147,9 +147,17 @@ _CLEANED_COLUMNS = (
     "alpha_3, cause, temporal_granularity, gas, emissions_quantity, emissions_factor, year, month, "
     "coordinates_1, coordinates_2, coordinates_3, coordinates_4, coordinates_5"
 )
-_NULLS = " UNION ALL ".join(
-    f"SELECT '{name}' AS column_name, count(*) - count({name}) AS nulls FROM cleaned"
-    for name in _CLEANED_COLUMNS.split(", ")
+_NOT_NULL = " UNION ALL ".join(
+    f"SELECT '{table}.{key}' AS rule, count(*) - count({key}) AS nulls FROM {rows}"
+    for table, key, rows in (
+        ("continent", "code", "(SELECT region_code AS code FROM listed)"),
+        ("region", "code", "(SELECT sub_region_code AS code FROM listed)"),
+        ("country", "code", "(SELECT country_code AS code FROM listed)"),
+        ("year", "id", "(SELECT year AS id FROM cleaned)"),
+        ("month", "id", "(SELECT month AS id FROM cleaned)"),
+        ("gas", "id", "gas_dim"),
+        ("gas_emission", "id", "(SELECT 1 AS id FROM cleaned)"),
+    )
 )
 _TYPES = {
     "continent": "code string, name string",
@@ -231,7 +239,14 @@ _ORACLES = {
         SELECT 'gas_emission.id' AS rule, CAST(id AS VARCHAR) AS key_value, count(*) AS records
         FROM emission GROUP BY id HAVING count(*) > 1"""),
     "audit_foreign_key": _jobs(_ORPHANS),
-    "audit_not_null": _jobs(_NULLS),
+    "audit_not_null": _jobs(_NOT_NULL),
+    "audit_csv_fields": _raw("""
+        SELECT 'emissions_factor' AS column_name, count(*) FILTER (emissions_factor > 0.05 AND gas IS DISTINCT FROM 'UNLISTED') AS malformed FROM fires
+        UNION ALL SELECT 'emissions_quantity', count(*) FILTER (temporal_granularity = 'F' AND gas IS DISTINCT FROM 'UNLISTED') FROM fires
+        UNION ALL SELECT '(whole line)', count(*) FILTER (gas = 'UNLISTED') FROM fires"""),
+    "audit_quantities": _jobs("""
+        SELECT count(*) FILTER (cause = 'R') AS not_finite, count(*) FILTER (cause = 'A' AND q IS NOT NULL) AS finer
+        FROM cleaned"""),
     "proj_select": _raw("SELECT iso3_country, gas, emissions_quantity FROM fires"),
     "proj_rename": _raw(
         "SELECT iso3_country AS alpha_3, original_inventory_sector AS cause, gas FROM fires"

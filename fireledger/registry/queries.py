@@ -23,9 +23,16 @@ from fireledger.plans.refresh import refresh
 from fireledger.plans.star import Star
 from fireledger.registry import standin
 from fireledger.registry.standin import Given
-from fireledger.schemas import CLEANED_FIRES, RAW_COUNTRIES, TABLES
+from fireledger.schemas import CLEANED_FIRES, RAW_COUNTRIES, RAW_FIRES, TABLES
 from fireledger.session import stage, work_folder
-from fireledger.sources import create_tables, overwrite_table, read_csv, read_tables, write_csv
+from fireledger.sources import (
+    create_tables,
+    malformed_fields,
+    overwrite_table,
+    read_csv,
+    read_tables,
+    write_csv,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -90,9 +97,11 @@ def _double(name: str, alias: str | None = None):
 
 @_key("src_csv_file")
 def src_csv_file(spark, folder):
+    """The country list from one file, read by the path of the file itself."""
     path = work_folder(spark)
-    write_csv(standin.raw_countries(Given(spark, folder)), path)
-    return read_csv(spark, path, RAW_COUNTRIES).withColumnsRenamed(
+    write_csv(standin.raw_countries(Given(spark, folder)), path, files=1)
+    (file,) = spark.read.csv(path).inputFiles()
+    return read_csv(spark, file, RAW_COUNTRIES).withColumnsRenamed(
         {name: name.replace("-", "_") for name in RAW_COUNTRIES.names}
     )
 
@@ -184,9 +193,44 @@ def audit_foreign_key(spark, folder):
     return audits.foreign_key_report(_refreshed(spark, folder))
 
 
-@_on_cleaned("audit_not_null")
-def audit_not_null(cleaned):
-    return audits.null_counts(cleaned, *cleaned.columns)
+@_key("audit_not_null")
+def audit_not_null(spark, folder):
+    """Tables whose keys are taken from the raw values, where some are missing."""
+    given = Given(spark, folder)
+    listed, cleaned = standin.raw_countries(given), clean_fires(standin.raw_fires(given))
+    keys = {
+        "continent": listed.select(F.col("`region-code`").alias("code")),
+        "region": listed.select(F.col("`sub-region-code`").alias("code")),
+        "country": listed.select(F.col("`country-code`").alias("code")),
+        "year": cleaned.select(F.col("year").alias("id")),
+        "month": cleaned.select(F.col("month").alias("id")),
+        "gas": gases.gas_dim(standin.raw_gases(given)),
+        "gas_emission": cleaned.select(F.lit(1).alias("id")),
+    }
+    return audits.not_null_report(keys)
+
+
+@_key("audit_csv_fields")
+def audit_csv_fields(spark, folder):
+    """Files with words for some numbers, and a field too many in some lines."""
+    path = work_folder(spark)
+    fires = standin.raw_fires(Given(spark, folder)).withColumns(
+        {
+            "emissions_factor": F.when(F.col("emissions_factor") > 0.05, "high").otherwise("0.01"),
+            "emissions_quantity": F.when(F.col("temporal_granularity") == "F", "n/a").otherwise("1.5"),
+            "gas": F.when(F.col("gas") == "UNLISTED", "UNLISTED;torn").otherwise(F.col("gas")),
+        }
+    )
+    fires.write.csv(path, header=True, sep=";", quote="")
+    return malformed_fields(spark, path, RAW_FIRES, delimiter=";")
+
+
+@_on_cleaned("audit_quantities")
+def audit_quantities(cleaned):
+    """Records of one cause made endless, those of another finer than thousandths."""
+    quantity = F.col("emissions_quantity")
+    spoilt = F.when(F.col("cause") == "R", float("inf")).when(F.col("cause") == "A", quantity + 0.0004)
+    return audits.quantity_report(cleaned.select(spoilt.otherwise(quantity).alias("quantity")))
 
 
 # --- projections and filters -------------------------------------------------
@@ -575,7 +619,12 @@ def job_dim_gas(spark, folder):
     return gases.gas_dim(standin.raw_gases(Given(spark, folder))).orderBy("chemical_label")
 
 
-_QUERIES["job_time_lookup"] = _QUERIES["join_left_using"]
+@_on_cleaned("job_time_lookup")
+def job_time_lookup(cleaned):
+    """From the monthly quantities, as the refresh makes it."""
+    monthly = monthly_quantities(cleaned)
+    years = calendar.year_dim(monthly)
+    return calendar.time_lookup(calendar.month_dim(monthly, years), years)
 
 
 @_key("job_fact_emission")

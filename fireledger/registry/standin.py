@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fireledger.functions.columns import month_name
+from fireledger.plans.gases import gas_key
 from fireledger.plans.star import Star
 
 
@@ -41,8 +42,7 @@ def _text(name: str) -> Column:
 
 
 def _gas_key() -> Column:
-    """A number made from the gas label, so the fact needs no lookup for it."""
-    return F.conv(F.substring(F.md5("p_type"), 1, 15), 16, 10).cast("long")
+    return gas_key(F.col("p_type"))
 
 
 class StandInStar(Star):

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,18 +33,18 @@ def local_session(cpus: int | str = "*", memory: str = "8g", **extra: str) -> Sp
     return builder.getOrCreate()
 
 
-def work_folder(spark: SparkSession) -> str:
-    """A fresh folder below the shared one the session names.
+def shared_folder(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``, or a folder in the warehouse where that is unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    return (base or spark.conf.get("spark.sql.warehouse.dir") + "/_work").rstrip("/")
 
-    Only a local session without ``spark.checkpoint.dir`` gets a temporary
-    folder: on a cluster that would live on one machine.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="fireledger-")
-    return f"{shared.rstrip('/')}/fireledger-{uuid.uuid4().hex}"
+
+def work_folder(spark: SparkSession) -> str:
+    """A fresh shared folder, deleted when the application ends."""
+    folder = f"{shared_folder(spark)}/fireledger-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
 
 
 def stage(df: DataFrame, folder: str, name: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 
@@ -25,6 +26,30 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, delimiter: str
     return rows.schema(full).csv(path).select([f"`{name}`" for name in schema.names])
 
 
+def malformed_fields(
+    spark: SparkSession, path: str, schema: StructType, delimiter: str = ","
+) -> DataFrame:
+    """``column_name, malformed``: fields that `read_csv` reads as NULL although they hold
+    text, by column, and lines with too few or too many fields as ``(whole line)``."""
+    options = {"header": True, "sep": delimiter}
+    header = spark.read.options(**options).csv(path).columns
+    full = StructType([*[StructField(name, StringType()) for name in header], StructField("_line", StringType())])
+    # Without column pruning the parser counts the fields of each line.
+    reader = spark.read.options(**options, columnNameOfCorruptRecord="_line", columnPruning=False)
+    rows = reader.schema(full).csv(path)
+    typed = [field for field in schema if field.dataType != StringType()]
+    counts = [
+        F.count_if(
+            F.col("_line").isNull()
+            & F.col(f"`{field.name}`").isNotNull()
+            & F.col(f"`{field.name}`").try_cast(field.dataType).isNull()
+        ).alias(field.name)
+        for field in typed
+    ]
+    counted = rows.agg(*counts, F.count("_line").alias("(whole line)"))
+    return counted.unpivot([], counted.columns, "column_name", "malformed")
+
+
 def write_csv(df: DataFrame, path: str, files: int | None = None) -> None:
     """Replace ``path`` with headed CSV part files.
 

@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from fireledger.schemas import PARTITIONED_BY, TABLES, conform
 
 
+def _quoted(*names: str) -> str:
+    return ".".join("`" + name.replace("`", "``") + "`" for name in names)
+
+
 def create_tables(
     spark: SparkSession,
     database: str,
@@ -17,20 +21,23 @@ def create_tables(
     names: Iterable[str] = tuple(TABLES),
 ) -> None:
     """Create the typed tables that are absent; ``location`` is for a new database."""
-    where = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{where}")
+    where = " LOCATION '{}'".format(location.replace("\\", "\\\\").replace("'", "\\'")) if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(database)}{where}")
     for name in names:
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in TABLES[name])
-        keys = ", ".join(f"`{key}`" for key in PARTITIONED_BY.get(name, []))
+        columns = ", ".join(f"{_quoted(f.name)} {f.dataType.simpleString()}" for f in TABLES[name])
+        keys = ", ".join(_quoted(key) for key in PARTITIONED_BY.get(name, []))
         partitioned = f" PARTITIONED BY ({keys})" if keys else ""
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS `{database}`.`{name}` ({columns}) USING parquet{partitioned}"
+            f"CREATE TABLE IF NOT EXISTS {_quoted(database, name)} ({columns}) USING parquet{partitioned}"
         )
 
 
 @contextmanager
 def _all_partitions_replaced(spark: SparkSession):
-    """In dynamic mode an overwrite would leave partitions that have no new rows."""
+    """In dynamic mode an overwrite would leave partitions that have no new rows.
+
+    The setting is the session's, so one session writes one table at a time.
+    """
     key = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(key)
     spark.conf.set(key, "static")
@@ -54,10 +61,10 @@ def overwrite_table(df: DataFrame, database: str, name: str) -> DataFrame:
     if keys:
         rows = rows.hint("rebalance", *keys)
     with _all_partitions_replaced(spark):
-        rows.write.insertInto(f"`{database}`.`{name}`", overwrite=True)
-    return spark.table(f"`{database}`.`{name}`")
+        rows.write.insertInto(_quoted(database, name), overwrite=True)
+    return spark.table(_quoted(database, name))
 
 
 def read_tables(spark: SparkSession, database: str) -> dict[str, DataFrame]:
     """The seven tables by name."""
-    return {name: spark.table(f"`{database}`.`{name}`") for name in TABLES}
+    return {name: spark.table(_quoted(database, name)) for name in TABLES}

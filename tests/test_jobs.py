@@ -69,21 +69,30 @@ def test_regions_and_continents_without_the_unplaced(countries, fires):
 
 def test_years_and_months(fires):
     years = calendar.year_dim(fires)
-    assert rows(years) == [(1, 2015, 3.75), (2, 2016, 60.0), (3, None, 64.0)]
+    assert rows(years) == [(0, None, 64.0), (2015, 2015, 3.75), (2016, 2016, 60.0)]
     months = calendar.month_dim(fires, years)
     assert rows(months) == [
-        (1, "January", 1, 1),
-        (2, "February", 2, 1),
-        (3, "January", 1, 2),
-        (4, "December", 12, 2),
-        (5, None, None, None),
+        (0, None, None, None),
+        (201501, "January", 1, 2015),
+        (201502, "February", 2, 2015),
+        (201601, "January", 1, 2016),
+        (201612, "December", 12, 2016),
     ]
-    assert (2, 1, 3, 2016) in rows(calendar.time_lookup(months, years))
+    assert (2016, 1, 201601, 2016) in rows(calendar.time_lookup(months, years))
 
 
-def test_gases_are_numbered_by_label(spark):
-    listed = spark.createDataFrame([("Nitrous oxide", "n2o"), ("Methane", "ch4")], RAW_GASES)
-    assert rows(gases.gas_dim(listed)) == [(1, "Methane", "ch4"), (2, "Nitrous oxide", "n2o")]
+def test_an_earlier_year_leaves_keys_as_they_are(spark, fires):
+    earlier = fires.unionByName(spark.createDataFrame([("ITA", "co2", 1.0, 1999, 12)], fires.schema))
+    for make in (calendar.year_dim, lambda f: calendar.month_dim(f, calendar.year_dim(f))):
+        before, after = (set(rows(make(f).drop("total_gas_emission"))) for f in (fires, earlier))
+        assert before < after
+
+
+def test_gases_are_known_by_label(spark):
+    listed = [("Nitrous oxide", "n2o"), ("Methane", "ch4")]
+    one, both = (spark.createDataFrame(x, RAW_GASES) for x in (listed[:1], listed))
+    assert set(rows(gases.gas_dim(one))) < set(rows(gases.gas_dim(both)))
+    assert len({r.id for r in gases.gas_dim(both).collect()}) == 2
 
 
 def test_fact_keeps_every_record(spark, countries, fires):
@@ -92,17 +101,18 @@ def test_fact_keeps_every_record(spark, countries, fires):
     years = calendar.year_dim(fires)
     lookup = calendar.time_lookup(calendar.month_dim(fires, years), years)
     fact = emission_fact(fires, dim, gas, lookup)
+    co2, ch4 = (gas.where(f"chemical_label = '{x}'").first().id for x in ("co2", "ch4"))
     got = rows(fact.select("quantity", "country_code", "month_id", "gas_id", "year"))
     assert got == sorted(
         [
-            (1.5, "380", 1, 2, 2015),
-            (2.25, "380", 2, 1, 2015),
-            (4.0, "008", 3, 2, 2016),
-            (8.0, "010", 3, 2, 2016),
-            (16.0, None, 3, 2, 2016),
-            (32.0, "380", 3, None, 2016),
-            (64.0, "380", None, 2, None),
-            (None, "380", 4, 2, 2016),
+            (1.5, "380", 201501, co2, 2015),
+            (2.25, "380", 201502, ch4, 2015),
+            (4.0, "008", 201601, co2, 2016),
+            (8.0, "010", 201601, co2, 2016),
+            (16.0, None, 201601, co2, 2016),
+            (32.0, "380", 201601, None, 2016),
+            (64.0, "380", None, co2, None),
+            (None, "380", 201612, co2, 2016),
         ],
         key=repr,
     )
@@ -175,7 +185,22 @@ def test_command_line(spark, refreshed):
     for name, df in zip(("fires", "countries", "gases"), raw):
         write_csv(df, f"{folder}/raw/{name}")
     paths = [f"{folder}/raw/{name}" for name in ("fires", "countries", "gases")]
-    main(["refresh", *paths, "--database", "cli", "--csv", f"{folder}/csv"])
+    exports = ["--csv", f"{folder}/csv", "--cleaned-csv", f"{folder}/cleaned", "--audits", f"{folder}/audits"]
+    for _ in range(2):
+        main(["refresh", *paths, "--database", "cli", "--work", f"{folder}/work", *exports])
+    left = {f.split("/work/")[1].split("/")[0] for f in spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").format("binaryFile").load(f"{folder}/work").select("path").toPandas()["path"]}
+    assert left == {"cleaned", "monthly", "countries", "lookup"}
+    assert spark.read.csv(f"{folder}/cleaned", header=True).count() == raw[0].count()
+    assert spark.read.csv(f"{folder}/audits/foreign_key", header=True).count() > 0
+    main(["audit", "not_null", f"{folder}/nulls", "--database", "cli"])
+    assert {r.nulls for r in spark.read.csv(f"{folder}/nulls", header=True).collect()} == {"0"}
+    main(["chart", "shares", f"{folder}/shares", "dimension=gas", "--database", "cli"])
+    assert spark.read.csv(f"{folder}/shares", header=True).count() > 1
+    main(["report", "ranked_countries", f"{folder}/asia", "continent=ASIA", "year=1998", "--database", "cli"])
+    asia = reports.ranked_countries(TableStar(read_tables(spark, "cli")), "ASIA", 1998)
+    assert spark.read.csv(f"{folder}/asia", header=True).count() == asia.count() > 0
+    with pytest.raises(SystemExit, match="not name=value"):
+        main(["report", "ranked_countries", f"{folder}/asia", "colour=red", "--database", "cli"])
     main(["report", "continent_ranges", f"{folder}/report", "--database", "cli"])
     exported = spark.read.csv(f"{folder}/csv/year", header=True)
     assert exported.count() == read_tables(spark, database)["year"].count()
