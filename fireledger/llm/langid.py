@@ -45,28 +45,27 @@ def _letter(code: int) -> np.ndarray:
 
 def _rows(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Bundled vectors of some texts, and which texts have a letter."""
-    raw = "\n".join(texts)
+    raw = "".join(f"\n{t}\n" for t in texts)
     codes = np.frombuffer(raw.encode("utf-32-le", "surrogatepass"), np.uint32)
-    owner = np.repeat(np.arange(len(texts)), [len(t) + 1 for t in texts])[: len(codes)]
+    sizes = np.array([len(t) + 2 for t in texts])
+    owner = np.repeat(np.arange(len(texts)), sizes)
     letter = _alphabetic()[codes]
     has = np.bincount(owner[letter], minlength=len(texts)) > 0
     codes = np.where(letter, codes, 0)
-    # A boundary stands before each text, between words, and after the last one.
+    # A boundary stands before each text and behind each word.
     keep = letter.copy()
     keep[1:] |= letter[:-1]
+    keep[np.cumsum(sizes) - sizes] = True
     codes, owner = codes[keep], owner[keep]
-    if len(codes) < NGRAM - 1:
-        return np.zeros((len(texts), DIMS), np.float32), has
-    codes, owner = np.concatenate([[0], codes, [0]]), np.concatenate([owner[:1], owner, owner[-1:]])
     alphabet, ids = np.unique(codes, return_inverse=True)
     size = len(alphabet)
-    grams = np.zeros(len(ids) - NGRAM + 1, np.int64)
+    n = max(len(ids) - NGRAM + 1, 0)
+    grams = np.zeros(n, np.int64)
     for place in range(NGRAM):
-        grams = grams * size + ids[place : place + len(grams)]
-    # An n-gram belongs to the text of its middle letter; it has one letter at least.
-    middle = owner[NGRAM // 2 : NGRAM // 2 + len(grams)]
-    kinds, which = np.unique(grams, return_inverse=True)
-    counts = np.bincount(middle * len(kinds) + which, minlength=len(texts) * len(kinds))
+        grams = grams * size + ids[place : place + n]
+    inside = owner[:n] == owner[NGRAM - 1 :]
+    kinds, which = np.unique(grams[inside], return_inverse=True)
+    counts = np.bincount(owner[:n][inside] * len(kinds) + which, minlength=len(texts) * len(kinds))
     counts = counts.reshape(len(texts), len(kinds)).astype(np.float32)
     letters = np.stack([_letter(int(c)) for c in alphabet])
     bound = np.ones((len(kinds), DIMS), np.int8)
@@ -127,8 +126,7 @@ def learn(docs: DataFrame, usable: Column, max_train: int = 20_000) -> dict[str,
     return learned
 
 
-def predict(docs: DataFrame, learned: dict[str, np.ndarray]) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``lang_score`` beside its columns; one pass, no join."""
+def _guess(learned: dict[str, np.ndarray]):
     names = list(learned) or [UNKNOWN]
     profiles = np.stack(list(learned.values())) if learned else np.zeros((1, DIMS), np.float32)
 
@@ -142,16 +140,25 @@ def predict(docs: DataFrame, learned: dict[str, np.ndarray]) -> DataFrame:
             score[places] = np.where(has, np.clip(cosines[np.arange(len(top)), top], 0, 1), 0)
         return pd.DataFrame({"lang": best, "score": score})
 
-    return (
-        docs.withColumn("lang_found", guess(F.col("text")))
-        .withColumn("lang_pred", F.col("lang_found.lang"))
-        .withColumn("lang_score", F.col("lang_found.score"))
-        .drop("lang_found")
-    )
+    return guess(F.col("text"))
+
+
+def _unused(name: str, columns: list[str]) -> str:
+    while name in columns:
+        name += "_"
+    return name
+
+
+def predict(docs: DataFrame, learned: dict[str, np.ndarray]) -> DataFrame:
+    """``docs`` with ``lang_pred`` and ``lang_score``, in place of columns of these names; no join."""
+    found = _unused("lang_found", docs.columns)
+    told = docs.withColumn(found, _guess(learned))
+    return told.withColumn("lang_pred", F.col(f"{found}.lang")).withColumn("lang_score", F.col(f"{found}.score")).drop(found)
 
 
 def known_language(docs: DataFrame, min_score: float = 0.0, **options) -> DataFrame:
     """The rows of ``docs`` whose language is told with ``min_score`` at least; their columns only."""
-    found = predict(docs, learn(docs, F.lit(True), **options))
-    kept = found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("lang_score") >= min_score))
+    found = _unused("lang_found", docs.columns)
+    told = docs.withColumn(found, _guess(learn(docs, F.lit(True), **options)))
+    kept = told.filter((F.col(f"{found}.lang") != UNKNOWN) & (F.col(f"{found}.score") >= min_score))
     return kept.select(*docs.columns)
