@@ -20,7 +20,7 @@ from fireledger.plans import calendar, charts, gases, location, reports
 from fireledger.plans.cleaning import RENAMED, clean_fires, monthly_quantities
 from fireledger.plans.fact import emission_fact
 from fireledger.plans.refresh import refresh
-from fireledger.plans.star import Star
+from fireledger.plans.star import Star, TableStar
 from fireledger.registry import standin
 from fireledger.registry.standin import Given
 from fireledger.schemas import CLEANED_FIRES, RAW_COUNTRIES, RAW_FIRES, TABLES
@@ -36,6 +36,7 @@ from fireledger.sources import (
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
+_WAREHOUSES: dict[tuple[str, str], Star] = {}
 
 YEAR = 2000
 REGION = "NATION_1"
@@ -50,15 +51,26 @@ def _key(name: str):
 
 
 def _on_star(name: str):
-    """Register a query that takes the star."""
+    """Register a query that takes the star: over the given tables, and as ``wh_...``
+    over the stored tables of a refresh."""
 
     def register(query: Callable[[Star], DataFrame]):
         _QUERIES[name] = lambda spark, folder: query(standin.StandInStar(spark, folder))
+        if name.startswith(("q", "chart_")):
+            _QUERIES[f"wh_{name}"] = lambda spark, folder: query(_warehouse(spark, folder))
         return query
 
     return register
 
 
+def _warehouse(spark: SparkSession, folder: str) -> Star:
+    """The star over the tables of one refresh for each session and folder."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _WAREHOUSES:
+        _WAREHOUSES[key] = TableStar(_refreshed(spark, folder))
+    return _WAREHOUSES[key]
+
+
 def _on_fires(name: str):
     """Register a query that takes the raw fire records."""
 

@@ -119,6 +119,13 @@ def test_time_and_polygon_are_parsed_once_per_record(spark):
     assert text.count("regexp_extract") == 1
 
 
+def test_stored_reports_read_records_once_and_join_no_part(spark):
+    text = executed(registered()["wh_q06_top3_by_gas_year"](spark, FOLDER))
+    assert len(re.findall(r"FileScan parquet \S*gas_emission", text)) == 1
+    assert "part.parquet" not in text and "lineitem.parquet" not in text
+    assert "PartitionFilters: [isnotnull(year" in executed(registered()["wh_q05_rank_asia"](spark, FOLDER))
+
+
 def test_entry_runs(spark):
     import __spark_entry__ as driver
 
