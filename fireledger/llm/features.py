@@ -49,6 +49,17 @@ def byte_trigrams_and_words(texts: Sequence[str | None], bits: int) -> Iterator[
         yield _by_text(keys, np.concatenate([owners[inside], words.text]), len(run), bits)
 
 
+def sampled_texts(docs: DataFrame, labels: DataFrame, max_rows: int) -> tuple[DataFrame, int]:
+    """Texts of at most about ``max_rows`` labelled ids, chosen by a hash of the id, and their number.
+
+    The chosen labels are few by that bound, so they are sent to the texts, not the texts to them.
+    """
+    n = labels.count()
+    if n > max_rows:
+        labels = labels.filter(F.pmod(F.xxhash64("doc_id"), F.lit(n)) < max_rows)
+    return docs.join(F.broadcast(labels), "doc_id"), min(n, max_rows)
+
+
 def sampled(docs: DataFrame, usable: Column, max_rows: int) -> tuple[DataFrame, int]:
     """At most about ``max_rows`` of the usable rows, chosen by a hash of the id, and their number."""
     rows = docs.filter(usable)

@@ -168,7 +168,7 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of every document, learned from two thirds of the labels."""
     docs = _documents(spark, folder).select("doc_id", "text")
     labels = _labels(spark, folder, F.col("toxic")).filter(_remainder(3) != 1)
-    model = toxicity.learn(docs.join(labels, "doc_id"))
+    model = toxicity.learn(docs, labels)
     return toxicity.score(docs, model).select(
         "doc_id",
         (_remainder(3) == 1).alias("held_out"),

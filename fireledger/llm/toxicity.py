@@ -11,8 +11,7 @@ They are dealt to shards of ``SHARD`` rows, each learns by itself in the order o
 and the weights are averaged over the shards. Scoring covers every whole text.
 
 Defined results: null and empty texts have no features and get the score of the bias
-alone; where nothing can be learned every score is 0; if an id has several labels, the
-largest counts; repeated rows are scored one by one; an empty table gives an empty table.
+alone; where nothing can be learned every score is 0; repeated rows are scored one by one; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -22,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fireledger.llm.features import sampled, word_patterns
+from fireledger.llm.features import sampled_texts, word_patterns
 
 PATTERNS = ((0,), (0, 1), (0, 2))
 BITS = 20
@@ -52,7 +51,8 @@ def _follow_leader(
 
 
 def learn(
-    labelled: DataFrame,
+    docs: DataFrame,
+    labels: DataFrame,
     max_train: int = 40_000,
     alpha: float = 2.0,
     beta: float = 1.0,
@@ -60,8 +60,8 @@ def learn(
     l2: float = 0.1,
     rounds: int = 6,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Places and weights from rows of ``doc_id, text, label`` (0 or 1)."""
-    rows, n = sampled(labelled, F.col("label").isNotNull(), max_train)
+    """Places and weights from texts and the ``doc_id, label`` (0 or 1) of some; one label an id."""
+    rows, n = sampled_texts(docs, labels, max_train)
     shards = max(1, round(n / SHARD))
 
     def fit(shard: pd.DataFrame) -> pd.DataFrame:
