@@ -7,22 +7,26 @@ equal sets count as one. The join links sets of similarity ``percent`` and more:
    neighbouring ones. For a class, all possible shingles are dealt to ``m`` parts, more
    parts than two linked sets of it can differ in shingles, so linked sets agree in a
    whole part that has shingles. Sets that agree in a part are in a block. A passage in
-   many documents makes no block by itself, as the parts hold other shingles too.
-2. Groups. Each set is compared with one leader, the smallest set of most of its blocks;
-   sets linked that way form groups of similar documents, in pieces of ``GROUP`` sets.
-3. Matrix. A piece keeps the union of its members' shingles. Blocks that hold members of
-   several groups give pairs of a set and a foreign piece. The number of the set's
-   shingles in the union bounds its overlap with any member: only where that number
-   allows a link is the piece opened and the set compared with each member.
-
-Large groups of near copies therefore cost a comparison for each member, not for each
-pair. Every link between different groups is found: one that no block shows would need
-all shingles of a set in too few parts; parts are added until that has probability
-below ``MISS`` for a set. A set's 64-bit id is taken as the set.
+   many documents makes few blocks by itself, as most parts hold other shingles too.
+2. Groups. A set's cluster is its largest block. It is compared with the cluster's leader,
+   the member with most company in all its blocks; sets linked so far form components.
+   A component of more than ``GROUP`` sets, and the smaller ones of a cluster together,
+   are partitioned into groups of about ``GROUP`` similar sets.
+3. Matrix. A group keeps the union of its members' shingles, and for each of them its
+   members. Where a block holds several components, sets ask the groups there: those of
+   small components all, those of large ones the larger ones only. The number of a set's
+   shingles in the union bounds its overlap with any member: only where that allows a
+   link is the group opened and the overlap with each member counted.
+
+Large groups of near copies therefore cost a question for each member and group, not for
+each pair, and links within a component are not looked for again. Every link between
+different components is found: one that no block shows would need the differing
+shingles to hit all parts of a set that are not empty; parts are added until that has
+probability below ``MISS``. A set's 64-bit id is taken as the set.
 
 Defined results: documents without a word have no set, size 0 and no links; fewer words
-than ``width`` make one shingle of all; ids may repeat; repeated rows are linked;
-an empty table gives an empty table.
+than ``width`` make one shingle of all; ids may repeat; repeated rows are linked; rows
+without id are linked with equal sets only; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -30,7 +34,7 @@ from __future__ import annotations
 from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
-from math import inf, lgamma, log
+from math import exp, lgamma, log
 
 import numpy as np
 import pandas as pd
@@ -42,7 +46,8 @@ from fireledger.llm.scratch import stored
 from fireledger.llm.words import Words, joined, mixed, pieces, words_of
 
 MISS = 1e-12
-GROUP = 64
+GROUP = 256
+ASKED = 2048
 
 
 def shingle_sets(words: Words, width: int) -> list[np.ndarray]:
@@ -72,15 +77,23 @@ class Classes:
         both = smaller + 100 * smaller // self.percent
         return both * (100 - self.percent) // (100 + self.percent)
 
+    @staticmethod
+    def _missed(size: int, differ: int, parts: int) -> float:
+        """Bound on the chance that the differing shingles hit each part that is not empty."""
+        total = 0.0
+        for used in range(1, differ + 1):
+            ways = lgamma(parts + 1) - lgamma(used + 1) - lgamma(parts - used + 1) + size * log(used / parts)
+            hits = lgamma(differ + 1) - lgamma(differ - used + 1) - used * log(parts)
+            total += exp(min(0.0, ways) + min(0.0, hits))
+        return total
+
     def _grow(self) -> None:
         low = self.low[-1]
         high = 100 * low // self.percent + 1
         differ = max(self._differ(n) for n in {high - 1, max(low, high - 2)})
-        m = 0
-        if differ:
-            m = differ + 1
-            while lgamma(m + 1) - lgamma(differ + 1) - lgamma(m - differ + 1) + low * log(differ / m) > log(MISS):
-                m += 1
+        m = differ and differ + 1
+        while m and self._missed(low, differ, m) > MISS:
+            m += 1
         self.parts.append(m)
         self.low.append(high)
 
@@ -98,13 +111,15 @@ def _classes(percent: int) -> Classes:
 
 
 def block_keys(shingles: np.ndarray, percent: int) -> np.ndarray:
+    """Keys of a set's blocks: one for each part that is not empty."""
     keys = []
     for number, parts in _classes(percent).of(len(shingles)):
-        part = ((mixed(shingles, 1000 + number) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+        salt = 1000 + number
+        part = ((mixed(shingles, salt) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
         sums = np.zeros(parts, np.uint64)
         np.add.at(sums, part, mixed(shingles, 30))
         used = np.flatnonzero(np.bincount(part, minlength=parts))
-        keys.append(mixed(sums[used] ^ mixed(used.astype(np.uint64), 100_000 + number), 31))
+        keys.append(mixed(sums[used] ^ mixed(used.astype(np.uint64), 100_000 + salt), 31))
     return np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64)
 
 
@@ -120,41 +135,60 @@ def _sets_of(texts: pd.Series, width: int) -> Iterator[np.ndarray]:
         yield from shingle_sets(words_of(run), width)
 
 
-def document_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """``doc_id, n_shingles, set, keys`` of each document."""
+def document_sets(docs: DataFrame, width: int) -> DataFrame:
+    """``doc_id, n_shingles, set`` of each document."""
     kind = dict(docs.dtypes)["doc_id"]
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [(len(s), set_id(s), block_keys(s, percent)) for s in _sets_of(batch["text"], width)]
-            out = pd.DataFrame(found, columns=["n_shingles", "set", "keys"]).astype({"set": "Int64"})
-            yield pd.concat([batch[["doc_id"]].reset_index(drop=True), out], axis=1)
+            found = list(_sets_of(batch["text"], width))
+            # A column of numbers and None would turn into doubles, which cannot hold the ids.
+            names = pd.array([set_id(s) for s in found], dtype="Int64")
+            yield batch[["doc_id"]].assign(n_shingles=[len(s) for s in found], set=names)
+
+    return docs.select("doc_id", "text").mapInPandas(sets, f"doc_id {kind}, n_shingles bigint, `set` bigint")
 
-    return docs.select("doc_id", "text").mapInPandas(
-        sets, f"doc_id {kind}, n_shingles bigint, `set` bigint, keys array<bigint>"
-    )
+
+def set_blocks(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """``set, key``: each set of a task once with the keys of its blocks."""
+
+    def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: set[int] = set()
+        for batch in batches:
+            for _, run in pieces(batch["text"]):
+                ids, keys = [], []
+                for shingles in shingle_sets(words_of(run), width):
+                    name = set_id(shingles)
+                    if name is not None and name not in known:
+                        known.add(name)
+                        keys.append(block_keys(shingles, percent))
+                        ids.append(np.full(len(keys[-1]), name))
+                if ids:
+                    yield pd.DataFrame({"set": np.concatenate(ids), "key": np.concatenate(keys)})
+
+    return docs.select("text").mapInPandas(keyed, "`set` bigint, key bigint")
 
 
 def _linked(a: str, b: str, percent: int) -> Column:
     both = F.size(F.array_intersect(a, b)).cast("long")
-    return both * 100 >= (F.size(a) + F.size(b) - both) * percent
+    return both * (100 + percent) >= (F.size(a) + F.size(b)) * percent
 
 
 def _with_shingles(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """The ``doc_id, set, leader`` rows of ``wanted`` with the shingles of their documents."""
+    """The rows of ``wanted`` (doc_id, set, cluster, company) with the shingles of their documents."""
 
     def shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sets = [s.view(np.int64) for s in _sets_of(batch["text"], width)]
             # Other documents may bear the same id.
-            mine = [s is not None and len(x) > 0 and set_id(x.view(np.uint64)) == s for s, x in zip(batch["set"], sets)]
-            yield batch[["set", "leader"]].assign(shingles=sets)[mine]
+            mine = [len(x) > 0 and set_id(x.view(np.uint64)) == s for s, x in zip(batch["set"], sets)]
+            yield batch[["set", "cluster", "company"]].assign(shingles=sets)[mine]
 
     return (
         docs.select("doc_id", "text")
         .join(wanted, "doc_id")
-        .select("set", "leader", "text")
-        .mapInPandas(shingles, "`set` bigint, leader bigint, shingles array<bigint>")
+        .select("set", "cluster", "company", "text")
+        .mapInPandas(shingles, "`set` bigint, cluster bigint, company bigint, shingles array<bigint>")
         .dropDuplicates(["set"])
     )
 
@@ -164,35 +198,30 @@ def similar_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Da
 
     The component is the smallest id of the documents reached by links.
     """
-    sets = document_sets(docs, width, percent)
-    members = stored(sets.select("doc_id", "n_shingles", "set"))
+    members = stored(document_sets(docs, width))
     by_key = Window.partitionBy("key")
     blocks = stored(
-        sets.select("set", F.explode("keys").alias("key"))
-        .withColumn("leader", F.min("set").over(by_key))
+        set_blocks(docs, width, percent)
+        .withColumn("first", F.min("set").over(by_key))
         .withColumn("last", F.max("set").over(by_key))
-        .filter("leader <> last")
-        .select("key", "set", "leader")
+        .filter("first <> last")
+        .select("key", "set")
         .distinct()
     )
-    most = Window.partitionBy("set").orderBy(F.col("n").desc(), "leader")
-    leaders = (
-        blocks.groupBy("set", "leader")
-        .agg(F.count_if(F.col("set") != F.col("leader")).alias("n"))
-        .withColumn("nth", F.row_number().over(most))
-        .filter("nth = 1")
+    blocks = stored(blocks.join(blocks.groupBy("key").agg(F.count("*").alias("size")), "key"))
+    clusters = blocks.groupBy("set").agg(
+        F.max(F.struct("size", "key"))["key"].alias("cluster"), F.sum("size").alias("company")
     )
-    wanted = leaders.select("set", "leader").join(members.groupBy("set").agg(F.min("doc_id").alias("doc_id")), "set")
+    wanted = clusters.join(members.groupBy("set").agg(F.min("doc_id").alias("doc_id")), "set")
     held = stored(_with_shingles(docs, wanted, width))
-    l = held.select(F.col("set").alias("leader"), F.col("shingles").alias("leading"))
+    leaders = held.groupBy("cluster").agg(F.max(F.struct("company", "set"))["set"].alias("leader"))
+    leading = held.select(F.col("set").alias("leader"), F.col("shingles").alias("leading")).join(leaders, "leader")
     near = stored(
-        held.filter(F.col("set") != F.col("leader"))
-        .join(l, "leader")
-        .filter(_linked("shingles", "leading", percent))
+        held.join(leading, "cluster")
+        .filter((F.col("set") != F.col("leader")) & _linked("shingles", "leading", percent))
         .select(F.col("set").alias("a"), F.col("leader").alias("b"))
     )
-    first = stored(components(near))
-    more = _links_between(blocks, held, first, percent)
+    more = _links_between(blocks, held, stored(components(near)), percent)
     roots = components(near.unionByName(more))
     known = members.join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn(
         "root", F.coalesce("root", "set")
@@ -203,58 +232,95 @@ def similar_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Da
     )
 
 
-def _links_between(blocks: DataFrame, held: DataFrame, first: DataFrame, percent: int) -> DataFrame:
-    """Links ``a, b`` between sets of different groups."""
-    grouped = held.select("set").join(first.select(F.col("node").alias("set"), "root"), "set", "left").withColumn(
-        "root", F.coalesce("root", "set")
+def _groups(held: DataFrame, first: DataFrame) -> DataFrame:
+    """``set, root, n, large, group``: each set's component so far, its size, and the set's group."""
+    sets = held.select("set", "cluster").join(first.withColumnRenamed("node", "set"), "set", "left")
+    sets = sets.withColumn("root", F.coalesce("root", "set"))
+    sets = sets.join(sets.groupBy("root").agg(F.count("*").alias("n")), "root")
+    sets = sets.withColumn("large", F.col("n") > GROUP)
+    sets = sets.withColumn("about", F.when(F.col("large"), F.col("root")).otherwise(F.col("cluster")))
+    whole = sets.groupBy("large", "about").agg(F.ceil(F.count("*") / GROUP).alias("parts"))
+    number = F.pmod(F.xxhash64("set"), F.col("parts"))
+    return sets.join(whole, ["large", "about"]).select(
+        "set", "root", "n", "large", F.xxhash64("large", "about", number).alias("group")
     )
-    sizes = grouped.groupBy("root").agg(F.count("*").alias("n"))
-    pieced = stored(
-        grouped.join(sizes, "root").withColumn("piece", F.pmod(F.xxhash64("set"), F.ceil(F.col("n") / GROUP)))
-    )
-    across = blocks.select("key", "set").join(pieced, "set")
-    mixed_keys = across.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s")).filter("r <> s")
-    across = stored(across.join(mixed_keys.select("key"), "key"))
-    pieces_there = across.select("key", F.col("root").alias("other"), F.col("piece").alias("other_piece"), F.col("n").alias("other_n")).distinct()
-    # The smaller group asks, the larger one is asked.
-    asks = (F.col("n") < F.col("other_n")) | ((F.col("n") == F.col("other_n")) & (F.col("root") < F.col("other")))
+
+
+def _links_between(blocks: DataFrame, held: DataFrame, first: DataFrame, percent: int) -> DataFrame:
+    """Links ``a, b`` between sets of different components."""
+    groups = stored(_groups(held, first))
+
+    there = blocks.select("key", "set").join(groups, "set")
+    several = there.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s")).filter("r <> s")
+    there = stored(there.join(several.select("key"), "key"))
+    answers = there.select(
+        "key", F.col("group").alias("other"), "large", F.when(F.col("large"), F.col("root")).alias("other_root"), F.when(F.col("large"), F.col("n")).alias("other_n")
+    ).distinct()
+    larger = (F.col("n") < F.col("other_n")) | ((F.col("n") == F.col("other_n")) & (F.col("root") < F.col("other_root")))
+    asks = F.when(F.col("a.large"), larger).otherwise(F.col("t.n") <= GROUP)
+    t, a = there.alias("t"), answers.alias("a")
     asked = stored(
-        across.join(pieces_there, "key").filter(asks).select("set", "other", "other_piece").distinct()
+        t.join(a, (F.col("t.key") == F.col("a.key")) & asks).select("set", "root", F.col("other").alias("group")).distinct()
     )
-    inside = pieced.select("set", F.col("root").alias("other"), F.col("piece").alias("other_piece")).join(
-        asked.select("other", "other_piece").distinct(), ["other", "other_piece"]
+    # A group that very many sets ask is opened in several tasks.
+    shares = asked.groupBy("group").agg(F.ceil(F.count("*") / ASKED).cast("int").alias("shares"))
+    questions = (
+        asked.join(shares, "group")
+        .withColumn("share", F.pmod(F.hash("set"), F.col("shares")))
+        .join(held.select("set", "shingles"), "set")
+        .select("group", "share", "set", "root", "shingles")
     )
-    inside = inside.join(held.select("set", "shingles"), "set")
-    unions = inside.groupBy("other", "other_piece").agg(F.array_distinct(F.flatten(F.collect_list("shingles"))).alias("held"))
-    queries = asked.join(held.select("set", "shingles"), "set")
-    opened = (
-        queries.join(unions, ["other", "other_piece"])
-        .filter(F.size(F.array_intersect("shingles", "held")).cast("long") * 100 >= F.size("shingles") * percent)
-        .drop("held")
+    inside = (
+        groups.join(shares, "group")
+        .join(held.select("set", "shingles"), "set")
+        .withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)))
+        .select(*[F.col(c).alias(f"member_{c}") for c in ("group", "share", "set", "root", "shingles")])
     )
-    partner = inside.withColumnsRenamed({"set": "b", "shingles": "theirs"})
     return (
-        opened.join(partner, ["other", "other_piece"])
-        .filter(_linked("shingles", "theirs", percent))
-        .select(F.col("set").alias("a"), "b")
+        questions.groupBy("group", "share")
+        .cogroup(inside.groupBy("member_group", "member_share"))
+        .applyInPandas(_opened(percent), "a bigint, b bigint")
     )
 
 
+def _opened(percent: int):
+    def links(asking: pd.DataFrame, inside: pd.DataFrame) -> pd.DataFrame:
+        inside = inside.rename(columns=lambda c: c.removeprefix("member_"))
+        sizes = inside["shingles"].map(len).to_numpy(np.int64)
+        # The group's column of the matrix: its shingles in order, and who has each.
+        held = np.concatenate(list(inside["shingles"]))
+        order = np.argsort(held, kind="stable")
+        held, member = held[order], np.repeat(np.arange(len(inside)), sizes)[order]
+        names, roots = inside["set"].to_numpy(), inside["root"].to_numpy()
+        found = []
+        for name, root, shingles in asking[["set", "root", "shingles"]].itertuples(index=False):
+            n = len(shingles)
+            open_to = (roots != root) & (sizes * 100 >= n * percent) & (n * 100 >= sizes * percent)
+            if not open_to.any():
+                continue
+            low, high = np.searchsorted(held, shingles), np.searchsorted(held, shingles, side="right")
+            count = high - low
+            if np.count_nonzero(count) * (100 + percent) < (n + sizes[open_to].min()) * percent:
+                continue
+            at = np.repeat(low, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            overlap = np.bincount(member[at], minlength=len(inside))
+            for i in np.flatnonzero(open_to & (overlap * (100 + percent) >= (n + sizes) * percent)):
+                found.append((name, names[i]))
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return links
+
+
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs``, one for each component: that of the smallest id. All columns kept.
 
-    Documents without a word stay.
+    Documents without a word stay. Rows of one id go together; of rows of one id and text
+    one stays.
     """
     found = similar_components(docs, width, percent)
-    stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(
-        F.max("n_shingles").alias("jaccard_most"), F.min("n_shingles").alias("jaccard_least")
-    )
-    d, s = docs.alias("d"), stay.withColumnRenamed("doc_id", "jaccard_id").alias("s")
-    kept = d.join(s, F.col("d.doc_id").eqNullSafe(F.col("s.jaccard_id")))
-    # Rows of one id and text are copies of each other.
-    nth = F.row_number().over(Window.partitionBy("jaccard_id", F.xxhash64("text")).orderBy("jaccard_most"))
-    return (
-        kept.withColumn("jaccard_nth", nth)
-        .filter((F.col("jaccard_nth") == 1) | (F.col("jaccard_most") == 0))
-        .select(*docs.columns)
-    )
+    gone = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("jaccard_id")).distinct()
+    left = docs.join(gone, F.col("doc_id") == F.col("jaccard_id"), "left_anti")
+    # No shuffle of its own: rows of one id are together after the join.
+    nth = F.row_number().over(Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(0)))
+    wordless = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    return left.withColumn("jaccard_nth", nth).filter((F.col("jaccard_nth") == 1) | wordless).select(*docs.columns)
