@@ -12,8 +12,7 @@ to shards of ``SHARD`` rows whose weights and thresholds are averaged. Every who
 is graded.
 
 Defined results: null and empty texts have no features, so the thresholds alone grade
-them; with no graded row at all every probability is 0; if an id has several grades, the
-smallest counts; repeated rows are graded one by one; an empty table gives an empty table.
+them; with no graded row at all every probability is 0; repeated rows are graded one by one; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -23,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fireledger.llm.features import byte_trigrams_and_words, sampled
+from fireledger.llm.features import byte_trigrams_and_words, sampled_texts
 
 BITS = 18
 SHARD = 10_000
@@ -60,10 +59,10 @@ def _climb(rows: list[np.ndarray], grades: np.ndarray, levels: int, rate: float,
 
 
 def learn(
-    graded: DataFrame, levels: int, max_train: int = 40_000, rate: float = 0.1, l2: float = 1e-4, rounds: int = 4
+    docs: DataFrame, labels: DataFrame, levels: int, max_train: int = 40_000, rate: float = 0.1, l2: float = 1e-4, rounds: int = 4
 ) -> np.ndarray | None:
-    """Weights and thresholds from rows of ``doc_id, text, grade`` (0 to levels - 1)."""
-    rows, n = sampled(graded, F.col("grade").isNotNull(), max_train)
+    """Weights and thresholds from texts and the ``doc_id, grade`` (0 to levels - 1) of some; one grade an id."""
+    rows, n = sampled_texts(docs, labels, max_train)
     shards = max(1, round(n / SHARD))
 
     def fit(shard: pd.DataFrame) -> pd.DataFrame:
@@ -106,9 +105,9 @@ def grade(docs: DataFrame, model: np.ndarray | None, levels: int, selected_from:
         return pd.DataFrame({"expected": above.sum(axis=1), "tail": above[:, selected_from - 1]})
 
     return (
-        docs.withColumn("graded", probabilities(F.col("text")))
-        .withColumn("expected_grade", F.col("graded.expected"))
-        .withColumn("p_tail", F.col("graded.tail"))
+        docs.withColumn("_grades", probabilities(F.col("text")))
+        .withColumn("expected_grade", F.col("_grades.expected"))
+        .withColumn("p_tail", F.col("_grades.tail"))
         .withColumn("selected", F.col("p_tail") >= least)
-        .drop("graded")
+        .drop("_grades")
     )

@@ -187,7 +187,7 @@ def op10_quality_grades(spark: SparkSession, folder: str) -> DataFrame:
     labels = spark.read.parquet(f"{folder}/labels.parquet").filter(_remainder(3) != 1)
     rated = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when(F.col("quality") == 1, 2)
     labels = labels.groupBy("doc_id").agg(F.min(rated).alias("grade")).filter(F.col("grade").isNotNull())
-    model = grades.learn(docs.join(labels, "doc_id"), levels=3)
+    model = grades.learn(docs, labels, levels=3)
     return grades.grade(docs, model, levels=3).select(
         "doc_id", (_remainder(3) == 1).alias("held_out"), "expected_grade", "p_tail", "selected"
     )
