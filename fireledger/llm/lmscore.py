@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from fireledger.llm.words import NOT_ALNUM, mixed, pieces, words_of
 
-CHUNK = 16 << 20
+CHUNK = 8 << 20
 BITS = 40
 WEIGHT = 4.0
 
