@@ -28,6 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fireledger.llm.scratch import in_small_batches
 from fireledger.llm.words import PIECE, POWERS, mixed, pieces, window_hashes
 
 RATE = 0.1
@@ -209,7 +210,7 @@ def test_hits(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFram
                 out = [(ids[i], wanted.ids[k], edits) for (i, k), edits in least.items()]
                 yield pd.DataFrame(out, columns=["doc_id", "item_id", "edits"])
 
-        part = docs.select("doc_id", "text").mapInPandas(search, f"doc_id {kind}, item_id {item_kind}, edits bigint")
+        part = in_small_batches(docs.select("doc_id", "text")).mapInPandas(search, f"doc_id {kind}, item_id {item_kind}, edits bigint")
         found = part if found is None else found.unionByName(part)
     return found
 

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fireledger.llm.features import byte_trigrams_and_words, sampled_texts
+from fireledger.llm.scratch import in_small_batches
 
 BITS = 18
 SHARD = 10_000
@@ -105,7 +106,7 @@ def grade(docs: DataFrame, model: np.ndarray | None, levels: int, selected_from:
         return pd.DataFrame({"expected": above.sum(axis=1), "tail": above[:, selected_from - 1]})
 
     return (
-        docs.withColumn("_grades", probabilities(F.col("text")))
+        in_small_batches(docs).withColumn("_grades", probabilities(F.col("text")))
         .withColumn("expected_grade", F.col("_grades.expected"))
         .withColumn("p_tail", F.col("_grades.tail"))
         .withColumn("selected", F.col("p_tail") >= least)

@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fireledger.llm.components import components
-from fireledger.llm.scratch import stored
+from fireledger.llm.scratch import in_small_batches, stored
 from fireledger.llm.words import Words, joined, mixed, pieces, words_of
 
 MISS = 1e-12
@@ -146,7 +146,7 @@ def document_sets(docs: DataFrame, width: int) -> DataFrame:
             names = pd.array([set_id(s) for s in found], dtype="Int64")
             yield batch[["doc_id"]].assign(n_shingles=[len(s) for s in found], set=names)
 
-    return docs.select("doc_id", "text").mapInPandas(sets, f"doc_id {kind}, n_shingles bigint, `set` bigint")
+    return in_small_batches(docs.select("doc_id", "text")).mapInPandas(sets, f"doc_id {kind}, n_shingles bigint, `set` bigint")
 
 
 def set_blocks(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -166,7 +166,7 @@ def set_blocks(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 if ids:
                     yield pd.DataFrame({"set": np.concatenate(ids), "key": np.concatenate(keys)})
 
-    return docs.select("text").mapInPandas(keyed, "`set` bigint, key bigint")
+    return in_small_batches(docs.select("text")).mapInPandas(keyed, "`set` bigint, key bigint")
 
 
 def _linked(a: str, b: str, percent: int) -> Column:
@@ -185,7 +185,7 @@ def _with_shingles(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             yield batch[["set", "cluster", "company"]].assign(shingles=sets)[mine]
 
     return (
-        docs.select("doc_id", "text")
+        in_small_batches(docs.select("doc_id", "text"))
         .join(wanted, "doc_id")
         .select("set", "cluster", "company", "text")
         .mapInPandas(shingles, "`set` bigint, cluster bigint, company bigint, shingles array<bigint>")

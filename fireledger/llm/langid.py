@@ -26,6 +26,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fireledger.llm.scratch import in_small_batches
+
 DIMS = 1024
 NGRAM = 3
 SCALE = 1 << 20
@@ -111,7 +113,7 @@ def learn(docs: DataFrame, usable: Column, max_train: int = 20_000) -> dict[str,
     if n > max_train:
         labelled = labelled.filter(F.pmod(F.xxhash64("doc_id"), F.lit(n)) < max_train)
     sums = (
-        labelled.select("lang", "text")
+        in_small_batches(labelled.select("lang", "text"))
         .mapInPandas(_bundles, "lang string, sums array<bigint>")
         .select("lang", F.posexplode("sums").alias("dim", "part"))
         .groupBy("lang", "dim")
@@ -152,13 +154,13 @@ def _unused(name: str, columns: list[str]) -> str:
 def predict(docs: DataFrame, learned: dict[str, np.ndarray]) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``lang_score``, in place of columns of these names; no join."""
     found = _unused("lang_found", docs.columns)
-    told = docs.withColumn(found, _guess(learned))
+    told = in_small_batches(docs).withColumn(found, _guess(learned))
     return told.withColumn("lang_pred", F.col(f"{found}.lang")).withColumn("lang_score", F.col(f"{found}.score")).drop(found)
 
 
 def known_language(docs: DataFrame, min_score: float = 0.0, **options) -> DataFrame:
     """The rows of ``docs`` whose language is told with ``min_score`` at least; their columns only."""
     found = _unused("lang_found", docs.columns)
-    told = docs.withColumn(found, _guess(learn(docs, F.lit(True), **options)))
+    told = in_small_batches(docs).withColumn(found, _guess(learn(docs, F.lit(True), **options)))
     kept = told.filter((F.col(f"{found}.lang") != UNKNOWN) & (F.col(f"{found}.score") >= min_score))
     return kept.select(*docs.columns)

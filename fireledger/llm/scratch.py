@@ -24,3 +24,15 @@ def stored(df: DataFrame) -> DataFrame:
     folder = shared_folder(df.sparkSession)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+#: Whole texts that a Python worker gets at once.
+BATCH = 1000
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``; its session hands Python at most ``BATCH`` rows at a time from now on."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH:
+        conf.set(key, str(BATCH))
+    return df

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fireledger.llm.features import sampled_texts, word_patterns
+from fireledger.llm.scratch import in_small_batches
 
 PATTERNS = ((0,), (0, 1), (0, 2))
 BITS = 20
@@ -99,4 +100,4 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray]) -> DataFrame:
         sums = [weights[x].sum() for run in word_patterns(texts, PATTERNS, BITS) for x in run]
         return pd.Series(1 / (1 + np.exp(-np.clip(np.array(sums) + weights[-1], -30, 30))))
 
-    return docs.withColumn("score", probability(F.col("text")))
+    return in_small_batches(docs).withColumn("score", probability(F.col("text")))

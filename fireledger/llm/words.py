@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-PIECE = 1 << 20
+PIECE = 1 << 18
 BASE = 0x9E3779B97F4A7C15 | 1
 BYTE_VALUES = np.random.default_rng(20240501).integers(1, 1 << 63, 256, dtype=np.uint64)
 
