@@ -7,10 +7,12 @@ repeated words by hundred words (of 50 words more, so that one mark in a short t
 no outlier).
 
 For each language and source the minimum covariance determinant estimates centre and
-covariance from the ``PART`` of its documents that lie closest: starting from medians and
-median deviations, the closest documents by Mahalanobis distance are chosen and centre
-and covariance made anew from them, ``STEPS`` times; documents within the usual
-distance then make the final estimate. As most texts have no symbols or repeats at
+covariance from the half (``PART``) of its documents that lie closest, so up to nearly a
+half of junk does not move them. There are six starts from medians and median deviations:
+by all statistics together, and by each alone. From each, the closest documents by
+Mahalanobis distance are chosen and centre and covariance made anew from them until
+no determinant falls (``STEPS`` times at most), and the start of least determinant is kept for
+the group; documents within the usual distance then make the final estimate. As most texts have no symbols or repeats at
 all, a variance floor is added, as the regularised form of the method does. A document is
 rejected if its squared distance exceeds ``limit``: 150, far beyond normal tails, as a line
 quoted twice puts a sound short text up to 100 away, and junk lies at 200 and more.
@@ -39,8 +41,8 @@ from fireledger.llm.scratch import stored
 SPACE = r"\x20\x09-\x0D"
 NAMES = ("x1", "x2", "x3", "x4", "x5")
 UNIT = 1000
-PART = 0.75
-STEPS = 4
+PART = 0.5
+STEPS = 12
 FLOOR = 250.0
 LIMIT = 150.0
 
@@ -146,13 +148,17 @@ def _groups(rows: DataFrame, least_rows: int) -> DataFrame:
     return whole.select("s.lang", "s.source", group.alias("group"))
 
 
+def _keys(df: DataFrame) -> list[str]:
+    return [c for c in ("group", "start") if c in df.columns]
+
+
 def _estimate(chosen: DataFrame, inflation: float) -> DataFrame:
-    """By group: the centre, and the lower triangle whose square is the covariance."""
+    """By group and start: the centre, the lower triangle whose square is the covariance, and its log determinant."""
     sums = [F.sum(n).alias(f"s{i}") for i, n in enumerate(NAMES)]
     products = [
         F.sum(F.col(a) * F.col(b)).alias(f"p{i}{j}") for i, a in enumerate(NAMES) for j, b in enumerate(NAMES) if j <= i
     ]
-    found = chosen.groupBy("group").agg(F.count("*").cast("double").alias("n"), *sums, *products)
+    found = chosen.groupBy(*_keys(chosen)).agg(F.count("*").cast("double").alias("n"), *sums, *products)
     for i in range(len(NAMES)):
         found = found.withColumn(f"m{i}", F.col(f"s{i}") / F.col("n"))
     for i in range(len(NAMES)):
@@ -164,12 +170,13 @@ def _estimate(chosen: DataFrame, inflation: float) -> DataFrame:
                 value = value - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
             found = found.withColumn(f"l{i}{j}", F.sqrt(F.greatest(value, F.lit(1.0))) if i == j else value / F.col(f"l{j}{j}"))
     lower = [f"l{i}{j}" for i in range(len(NAMES)) for j in range(i + 1)]
-    return stored(found.select("group", *[f"m{i}" for i in range(len(NAMES))], *lower))
+    spread = sum((F.log(f"l{i}{i}") for i in range(1, len(NAMES))), F.log("l00"))
+    return stored(found.select(*_keys(found), *[f"m{i}" for i in range(len(NAMES))], *lower, spread.alias("spread")))
 
 
 def _distances(rows: DataFrame, estimate: DataFrame) -> DataFrame:
     """``rows`` with the squared distance ``d`` from their group's centre, null without an estimate."""
-    near = rows.join(estimate, "group", "left")
+    near = rows.join(estimate, _keys(estimate), "left")
     for i, name in enumerate(NAMES):
         value = F.col(name) - F.col(f"m{i}")
         for k in range(i):
@@ -180,10 +187,24 @@ def _distances(rows: DataFrame, estimate: DataFrame) -> DataFrame:
 
 
 def _closest(rows: DataFrame) -> DataFrame:
-    """The closest part of each group, by distance on a fine grid, ties all in."""
+    """The closest part of each group and start, by distance on a fine grid, ties all in."""
     graded = rows.withColumn("grade", F.floor(F.log1p("d") * UNIT))
-    limits = stored(graded.groupBy("group").agg(F.percentile("grade", PART).alias("limit")))
-    return graded.join(limits, "group").filter(F.col("grade") <= F.col("limit"))
+    limits = stored(graded.groupBy(*_keys(graded)).agg(F.percentile("grade", PART).alias("limit")))
+    return graded.join(limits, _keys(limits)).filter(F.col("grade") <= F.col("limit"))
+
+
+def _least_spread(begun: DataFrame) -> DataFrame:
+    """By group: of the estimates that the starts in ``begun`` (rows by start, with ``d``) lead to, that of least determinant."""
+    begun = stored(begun)
+    tried = begun.drop("d")
+    found = _estimate(_closest(begun), _inflation(PART))
+    for _ in range(STEPS):
+        before = found.select(*_keys(found), F.col("spread").alias("before"))
+        found = _estimate(_closest(_distances(tried, found)), _inflation(PART))
+        if found.join(before, _keys(before)).filter(F.col("before") - F.col("spread") > 1e-6).isEmpty():
+            break
+    least = found.groupBy("group").agg(F.min(F.struct("spread", "start"))["start"].alias("start"))
+    return stored(found.join(least, ["group", "start"]).drop("start"))
 
 
 def judged(docs: DataFrame, limit: float = LIMIT, least_rows: int = 200) -> DataFrame:
@@ -198,7 +219,7 @@ def judged(docs: DataFrame, limit: float = LIMIT, least_rows: int = 200) -> Data
     same = F.col("a.lang").eqNullSafe(F.col("g.lang")) & F.col("a.source").eqNullSafe(F.col("g.source"))
     rows = stored(a.join(g, same, "left").select("a.*", F.coalesce("g.group", F.lit("")).alias("group")))
     fit = rows.filter("not base_failed").select("group", *NAMES)
-    # Start: every statistic by itself, from medians.
+    # Starts: every statistic by itself, from medians, and all of them.
     middle = stored(fit.groupBy("group").agg(*[F.median(n).alias(f"c{i}") for i, n in enumerate(NAMES)], F.count("*").alias("rows")))
     aside = fit.join(middle, "group")
     spread = aside.groupBy("group").agg(
@@ -209,10 +230,8 @@ def judged(docs: DataFrame, limit: float = LIMIT, least_rows: int = 200) -> Data
         F.pow((F.col(n) - F.col(f"c{i}")) / F.greatest(F.col(f"s{i}") * 1.4826, F.lit(FLOOR)), 2)
         for i, n in enumerate(NAMES)
     ]
-    chosen = _closest(fit.join(start, "group").withColumn("d", sum(apart[1:], apart[0])))
-    for _ in range(STEPS):
-        chosen = _closest(_distances(fit, _estimate(chosen, _inflation(PART))))
-    estimate = _estimate(chosen, _inflation(PART))
+    starts = F.posexplode(F.array(sum(apart[1:], apart[0]), *apart)).alias("start", "d")
+    estimate = _least_spread(fit.join(start, "group").select("group", *NAMES, starts))
     usual = 0.975
     within = _distances(fit, estimate).filter(F.col("d") <= chi_square_quantile(len(NAMES), usual))
     estimate = _estimate(within, _inflation(usual))

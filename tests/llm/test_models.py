@@ -201,6 +201,21 @@ def test_outliers_against_brute_force(spark):
     assert any(not r.kept and not r.base_failed for r in got.values())
 
 
+@pytest.mark.parametrize("percent", [30, 38, 45])
+def test_outliers_of_a_source_with_much_junk(spark, percent):
+    rng = random.Random(percent)
+    names = ["".join(rng.choice("abcdefg") for _ in range(rng.randint(2, 8))) for _ in range(500)]
+    rows = []
+    for i in range(400):
+        text = [rng.choice(names) for _ in range(rng.choice([30, 80, 200]))]
+        junk = i % 100 < percent
+        rows.append((i, " ".join(w + "###|" * rng.randint(1, 3) if junk else w for w in text), "en", "bad"))
+        rows.append((1000 + i, " ".join(rng.choice(names) for _ in range(60)), "en", "good"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = {r.doc_id for r in outliers.judged(docs).collect() if r.kept}
+    assert kept == {i for i, *_ in rows if i >= 1000 or i % 100 >= percent}
+
+
 def test_outliers_of_rare_groups(spark):
     rows = [(i, "some words that make a text of ten words " * (1 + i % 3), None if i % 5 else "xx", f"s{i}") for i in range(40)]
     docs = spark.createDataFrame(rows + rows[:3], "doc_id long, text string, lang string, source string")
