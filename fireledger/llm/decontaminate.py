@@ -184,10 +184,17 @@ def _key(piece: bytes) -> int:
 
 def test_hits(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
     """``doc_id, item_id, edits``: the items that each row of ``docs`` holds, with the least edits."""
+    return _hits(docs.select("doc_id", "text"), items, rate)
+
+
+def _hits(docs: DataFrame, items: DataFrame, rate: float) -> DataFrame:
+    """The hits by the first columns of ``docs``, of which the last is ``text``."""
+    *names, _ = docs.columns
     known = items.filter(F.length(F.trim("text")) > 0).select("item_id", "text")
     size = known.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     blocks = int(size // BLOCK + 1)
-    kind, item_kind = dict(docs.dtypes)["doc_id"], dict(items.dtypes)["item_id"]
+    kinds = ", ".join(f"{n} {kind}" for n, kind in docs.dtypes[:-1])
+    item_kind = dict(items.dtypes)["item_id"]
     found = None
     for number in range(blocks):
         block = known.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == number).collect()
@@ -197,7 +204,7 @@ def test_hits(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFram
         def search(batches: Iterator[pd.DataFrame], broadcast=broadcast) -> Iterator[pd.DataFrame]:
             wanted = broadcast.value
             for batch in batches:
-                ids = batch["doc_id"].to_numpy()
+                ids = list(zip(*[batch[n].to_numpy() for n in names]))
                 texts = [plain(t) for t in batch["text"]]
                 # A long text is searched in slices that overlap by an item and its budget.
                 slices = [(i, at) for i, t in enumerate(texts) for at in range(0, max(len(t), 1), PIECE)]
@@ -207,16 +214,21 @@ def test_hits(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFram
                     for (j, k), edits in wanted.found_in(run).items():
                         i = slices[first + j][0]
                         least[i, k] = min(edits, least.get((i, k), edits))
-                out = [(ids[i], wanted.ids[k], edits) for (i, k), edits in least.items()]
-                yield pd.DataFrame(out, columns=["doc_id", "item_id", "edits"])
+                out = [(*ids[i], wanted.ids[k], edits) for (i, k), edits in least.items()]
+                yield pd.DataFrame(out, columns=[*names, "item_id", "edits"])
 
-        part = in_small_batches(docs.select("doc_id", "text")).mapInPandas(search, f"doc_id {kind}, item_id {item_kind}, edits bigint")
+        part = in_small_batches(docs).mapInPandas(search, f"{kinds}, item_id {item_kind}, edits bigint")
         found = part if found is None else found.unionByName(part)
     return found
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
-    """The rows of ``docs`` that hold no test item; all columns kept."""
-    hits = test_hits(docs, items, rate).select(F.col("doc_id").alias("test_doc_id")).distinct()
-    d, h = docs.alias("d"), hits.alias("h")
-    return d.join(h, F.col("d.doc_id").eqNullSafe(F.col("h.test_doc_id")), "left_anti").select(*docs.columns)
+    """The rows of ``docs`` that hold no test item; all columns kept.
+
+    Rows go by their text (two 64-bit hashes of it), whatever their ids: no id or an id that
+    another row bears makes no difference.
+    """
+    first, second = F.xxhash64("text"), F.xxhash64(F.lit(1), "text")
+    hits = _hits(docs.select(first.alias("test_first"), second.alias("test_second"), "text"), items, rate)
+    hits = hits.select("test_first", "test_second").distinct()
+    return docs.join(hits, (first == F.col("test_first")) & (second == F.col("test_second")), "left_anti")

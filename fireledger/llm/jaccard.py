@@ -25,8 +25,9 @@ shingles to hit all parts of a set that are not empty; parts are added until tha
 probability below ``MISS``. A set's 64-bit id is taken as the set.
 
 Defined results: documents without a word have no set, size 0 and no links; fewer words
-than ``width`` make one shingle of all; ids may repeat; repeated rows are linked; rows
-without id are linked with equal sets only; an empty table gives an empty table.
+than ``width`` make one shingle of all; ids may repeat; repeated rows are linked, and so
+are rows without id, whose component is null if no linked row has an id; an empty table
+gives an empty table. Inside, a row is known by a 64-bit hash of its id and text.
 """
 
 from __future__ import annotations
@@ -50,6 +51,16 @@ GROUP = 256
 ASKED = 2048
 
 
+def _row_id() -> Column:
+    """A row by its id and text."""
+    return F.xxhash64("doc_id", "text")
+
+
+def _first_row() -> Column:
+    """Of some rows that of the smallest id, those without id last."""
+    return F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_id"))["row_id"]
+
+
 def shingle_sets(words: Words, width: int) -> list[np.ndarray]:
     """Sorted distinct shingles of each text."""
     hashes, owners = joined(words, range(width))
@@ -136,7 +147,7 @@ def _sets_of(texts: pd.Series, width: int) -> Iterator[np.ndarray]:
 
 
 def document_sets(docs: DataFrame, width: int) -> DataFrame:
-    """``doc_id, n_shingles, set`` of each document."""
+    """``doc_id, row_id, n_shingles, set`` of each document."""
     kind = dict(docs.dtypes)["doc_id"]
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -144,9 +155,12 @@ def document_sets(docs: DataFrame, width: int) -> DataFrame:
             found = list(_sets_of(batch["text"], width))
             # A column of numbers and None would turn into doubles, which cannot hold the ids.
             names = pd.array([set_id(s) for s in found], dtype="Int64")
-            yield batch[["doc_id"]].assign(n_shingles=[len(s) for s in found], set=names)
+            yield batch[["doc_id", "row_id"]].assign(n_shingles=[len(s) for s in found], set=names)
 
-    return in_small_batches(docs.select("doc_id", "text")).mapInPandas(sets, f"doc_id {kind}, n_shingles bigint, `set` bigint")
+    # As text, since a column of numbers and nulls would turn into doubles as well.
+    given = docs.select(F.col("doc_id").cast("string"), _row_id().alias("row_id"), "text")
+    found = in_small_batches(given).mapInPandas(sets, "doc_id string, row_id bigint, n_shingles bigint, `set` bigint")
+    return found.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
 def set_blocks(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -175,18 +189,23 @@ def _linked(a: str, b: str, percent: int) -> Column:
 
 
 def _with_shingles(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """The rows of ``wanted`` (doc_id, set, cluster, company) with the shingles of their documents."""
+    """The rows of ``wanted`` (row_id, set, cluster, company) with the shingles of their documents."""
 
     def shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: set[int] = set()
         for batch in batches:
             sets = [s.view(np.int64) for s in _sets_of(batch["text"], width)]
-            # Other documents may bear the same id.
-            mine = [len(x) > 0 and set_id(x.view(np.uint64)) == s for s, x in zip(batch["set"], sets)]
+            mine = []
+            for s, x in zip(batch["set"], sets):
+                # Equal rows come several times.
+                mine.append(s not in known and len(x) > 0 and set_id(x.view(np.uint64)) == s)
+                if mine[-1]:
+                    known.add(s)
             yield batch[["set", "cluster", "company"]].assign(shingles=sets)[mine]
 
     return (
-        in_small_batches(docs.select("doc_id", "text"))
-        .join(wanted, "doc_id")
+        in_small_batches(docs.select(_row_id().alias("row_id"), "text"))
+        .join(wanted, "row_id")
         .select("set", "cluster", "company", "text")
         .mapInPandas(shingles, "`set` bigint, cluster bigint, company bigint, shingles array<bigint>")
         .dropDuplicates(["set"])
@@ -198,6 +217,15 @@ def similar_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Da
 
     The component is the smallest id of the documents reached by links.
     """
+    known = _rooted(docs, width, percent)
+    smallest = known.filter(F.col("root").isNotNull()).groupBy("root").agg(F.min("doc_id").alias("smallest"))
+    return known.join(smallest, "root", "left").select(
+        "doc_id", "n_shingles", F.coalesce("smallest", "doc_id").alias("component_id")
+    )
+
+
+def _rooted(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """``doc_id, row_id, n_shingles, set, root`` of each row; the root tells components apart, null without a set."""
     members = stored(document_sets(docs, width))
     by_key = Window.partitionBy("key")
     blocks = stored(
@@ -212,7 +240,7 @@ def similar_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Da
     clusters = blocks.groupBy("set").agg(
         F.max(F.struct("size", "key"))["key"].alias("cluster"), F.sum("size").alias("company")
     )
-    wanted = clusters.join(members.groupBy("set").agg(F.min("doc_id").alias("doc_id")), "set")
+    wanted = clusters.join(members.groupBy("set").agg(_first_row().alias("row_id")), "set")
     held = stored(_with_shingles(docs, wanted, width))
     leaders = held.groupBy("cluster").agg(F.max(F.struct("company", "set"))["set"].alias("leader"))
     leading = held.select(F.col("set").alias("leader"), F.col("shingles").alias("leading")).join(leaders, "leader")
@@ -223,13 +251,7 @@ def similar_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Da
     )
     more = _links_between(blocks, held, stored(components(near)), percent)
     roots = components(near.unionByName(more))
-    known = members.join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn(
-        "root", F.coalesce("root", "set")
-    )
-    smallest = known.filter(F.col("root").isNotNull()).groupBy("root").agg(F.min("doc_id").alias("smallest"))
-    return known.join(smallest, "root", "left").select(
-        "doc_id", "n_shingles", F.coalesce("smallest", "doc_id").alias("component_id")
-    )
+    return members.join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
 
 
 def _groups(held: DataFrame, first: DataFrame) -> DataFrame:
@@ -314,13 +336,15 @@ def _opened(percent: int):
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs``, one for each component: that of the smallest id. All columns kept.
 
-    Documents without a word stay. Rows of one id go together; of rows of one id and text
-    one stays.
+    Documents without a word stay. Rows go by id and text together, so rows without id lose
+    their near copies, and a row stays if one of the same id but another text goes.
     """
-    found = similar_components(docs, width, percent)
-    gone = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("jaccard_id")).distinct()
-    left = docs.join(gone, F.col("doc_id") == F.col("jaccard_id"), "left_anti")
-    # No shuffle of its own: rows of one id are together after the join.
-    nth = F.row_number().over(Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(0)))
+    known = _rooted(docs, width, percent).filter(F.col("root").isNotNull())
+    first = known.groupBy("root").agg(_first_row().alias("first"))
+    gone = known.join(first, "root").filter(F.col("row_id") != F.col("first")).select(F.col("row_id").alias("jaccard_gone")).distinct()
+    rows = docs.withColumn("jaccard_row", _row_id())
+    left = rows.join(gone, F.col("jaccard_row") == F.col("jaccard_gone"), "left_anti")
+    # No shuffle of its own: equal rows are together after the join.
+    nth = F.row_number().over(Window.partitionBy("jaccard_row").orderBy(F.lit(0)))
     wordless = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     return left.withColumn("jaccard_nth", nth).filter((F.col("jaccard_nth") == 1) | wordless).select(*docs.columns)

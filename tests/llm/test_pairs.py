@@ -75,6 +75,30 @@ def test_one_of_each(spark):
     assert jaccard.one_of_each(docs.limit(0)).count() == 0
 
 
+def test_one_of_each_by_row(spark):
+    rng = random.Random(12)
+    base = [f"w{rng.randrange(1000)}" for _ in range(80)]
+    near = [" ".join([*base[:k], "x", *base[k + 1 :]]) for k in (0, 79)]
+    other = [" ".join(f"{c}{rng.randrange(1000)}" for _ in range(30)) for c in "ab"]
+    big = (1 << 60) + 1
+    rows = [(None, near[0]), (None, near[1]), (big, " ".join(base)), (7, other[0]), (8, other[0]), (8, other[1]), (None, "c d e f g h"), (None, "c d e f g h"), (None, None)]
+    docs = spark.createDataFrame([(*r, "k", 1) for r in rows], DOCS)
+    kept = {(r.doc_id, r.text) for r in jaccard.one_of_each(docs).collect()}
+    assert kept == {(big, " ".join(base)), (7, other[0]), (8, other[1]), (None, "c d e f g h"), (None, None)}
+    assert jaccard.one_of_each(docs).count() == 5
+    found = jaccard.similar_components(docs.filter("doc_id is null or doc_id > 8")).collect()
+    assert [r.component_id for r in found if r.n_shingles > 70] == [big] * 3
+
+
+def test_clean_documents_by_row(spark):
+    item = "an item of the benchmark that some of the rows hold"
+    rows = [(None, f"so {item} there"), (None, "a clean row without id"), (1, item), (1, "a clean row of the same id"), (2, None)]
+    docs = spark.createDataFrame([(*r, "k", 1) for r in rows], DOCS)
+    clean = decontaminate.clean_documents(docs, spark.createDataFrame([(5, item)], "item_id long, text string"))
+    assert clean.columns == docs.columns
+    assert {(r.doc_id, r.text) for r in clean.collect()} == {rows[1], rows[3], rows[4]}
+
+
 def test_parts_outnumber_differences():
     classes = jaccard.Classes(85)
     classes.of(5000)
