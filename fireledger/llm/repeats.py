@@ -3,7 +3,7 @@
 A byte goes if a string of ``width`` bytes covers it that also starts in a document of a
 smaller id. Strings are judged on the texts as given, and never cross documents.
 
-1. Parse. Texts are dealt to chunks by id. Each chunk parses its texts into phrases
+1. Parse. Texts are dealt to chunks by id and text. Each chunk parses its texts into phrases
    (see ``phrases``) and sends its dictionary, each phrase once with its smallest
    document, to buckets by trigger. Equal strings have equal triggers, so they meet.
 2. Parse order. A bucket sorts phrases and finds the smallest document of each. Where a
@@ -13,7 +13,12 @@ smaller id. Strings are judged on the texts as given, and never cross documents.
    the chunks send their bytes, and the bucket sorts the suffixes of its dictionary: those
    that agree in ``width`` bytes are neighbours, and share the smallest document of the
    phrases that they come from.
-4. Each chunk parses again and marks its strings with what the buckets found.
+4. Common triggers. A short line that many documents hold between differing neighbours
+   gives its triggers a phrase a document. A chunk that has more than ``SHARE`` phrases of
+   a trigger sends one of them only, and says so. Such a trigger, or one with more than
+   ``CROWD`` phrases in all, is not sorted: the chunks send a hash of each of its strings,
+   once with its smallest document, to buckets by that hash, so no bucket gets them all.
+5. Each chunk parses again and marks its strings with what the buckets found.
 
 So the suffix arrays of dictionary and parse are made bucket by bucket; only ``width``
 bytes of a suffix and its smallest document are asked for, so no order across buckets
@@ -37,11 +42,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fireledger.llm.phrases import Phrases, parsed
-from fireledger.llm.words import PIECE, pieces
+from fireledger.llm.words import PIECE, POWERS, mixed, pieces, window_hashes
 
 WIDTH = 50
 CHUNK = 4 << 20
 LAST = np.iinfo(np.int64).max
+SHARE = 32
+CROWD = 1024
+SORTED, HASHED = 1, 2
 
 
 class _Chunk:
@@ -105,58 +113,108 @@ def _groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(new), np.cumsum(new) - 1
 
 
-ENTRIES = "bucket bigint, pfp_chunk bigint, trigger binary, phrase binary, doc binary"
+ENTRIES = "bucket bigint, pfp_chunk bigint, trigger binary, phrase binary, doc binary, crowded binary"
 DICTIONARY = "bucket bigint, pfp_chunk bigint, phrase binary, doc binary, size binary, bytes binary"
 FOUND = "pfp_chunk bigint, phrase binary, doc binary, opened binary, size binary"
 
 
-def _send(width: int, buckets: int):
-    """A chunk's dictionary, by bucket."""
+def _strings(buf: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of the strings of ``width`` bytes that start at ``at``."""
+    sums = window_hashes(buf)
+    _, down = POWERS.upto(len(buf) + 1)
+    return mixed((sums[at + width] - sums[at]) * down[at], 63)
+
+
+def _along(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All places from ``first`` to ``last`` of each phrase, and whose they are."""
+    count = last - first + 1
+    whose = np.repeat(np.arange(len(count)), count)
+    return np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + first[whose], whose
+
+
+def _hashed_triggers(found: pd.DataFrame, phrase: np.ndarray, trigger: np.ndarray) -> np.ndarray:
+    """The triggers, in order, of which a chunk sends all strings by hash; ``phrase`` is its dictionary, in order."""
+    told = [
+        np.frombuffer(p, np.uint64)[np.frombuffer(o, np.uint8) == HASHED] for p, o in zip(found["phrase"], found["opened"]) if len(o)
+    ]
+    names = np.concatenate([np.zeros(0, np.uint64), *told])
+    return np.unique(trigger[np.searchsorted(phrase, names)])
+
+
+def _first_strings(chunk: _Chunk, triggers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the strings of these triggers, in order, with their smallest documents in the chunk."""
+    strings, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for parse, text, _ in chunk.parses() if len(triggers) else []:
+        mine = np.flatnonzero(np.isin(parse.trigger, triggers))
+        start, whose = _along(parse.first[mine], parse.last[mine])
+        hashes, one = np.unique(_strings(parse.buf, start, chunk.width), return_index=True)
+        strings.append(hashes)
+        places.append(text[mine[whose[one]]])
+    # Texts are in the order of their ids, so a string's first document is its smallest.
+    hashes, one = np.unique(np.concatenate(strings), return_index=True)
+    return hashes, chunk.ids[np.concatenate(places)[one]]
+
+
+def _send(width: int, buckets: int, share: int = SHARE):
+    """A chunk's dictionary, by bucket; of a trigger with more than ``share`` phrases one, and the trigger as crowded."""
 
     def send(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         phrase, trigger, doc = _Chunk(rows, width).dictionary()
-        bucket = _bucket(trigger, buckets)
+        _, at, mine, count = np.unique(trigger, return_index=True, return_inverse=True, return_counts=True)
+        crowded = (count > share)[mine]
+        sent = ~crowded
+        sent[at] = True
+        phrase, trigger, doc, crowded = phrase[sent], trigger[sent], doc[sent], crowded[sent]
+        bucket, short = _bucket(trigger, buckets), (trigger >> np.uint64(32)).astype(np.uint32)
         order = np.argsort(bucket, kind="stable")
         starts, _ = _groups(bucket[order])
         out = [
-            (bucket[at[0]], key[0], (trigger[at] >> np.uint64(32)).astype(np.uint32).tobytes(), phrase[at].tobytes(), _packed(doc[at]))
+            (bucket[at[0]], key[0], short[at].tobytes(), phrase[at].tobytes(), _packed(doc[at]), short[at][crowded[at]].tobytes())
             for at in np.split(order, starts[1:])
             if len(at)
         ]
-        return pd.DataFrame(out, columns=["bucket", "pfp_chunk", "trigger", "phrase", "doc"])
+        return pd.DataFrame(out, columns=["bucket", "pfp_chunk", "trigger", "phrase", "doc", "crowded"])
 
     return send
 
 
-def _settle(key: tuple, entries: pd.DataFrame) -> pd.DataFrame:
+def _settle(crowd: int = CROWD):
     """What each chunk must know of its phrases: the smallest document, and whether to send bytes."""
-    trigger = np.concatenate([np.frombuffer(x, np.uint32) for x in entries["trigger"]])
-    phrase = np.concatenate([np.frombuffer(x, np.uint64) for x in entries["phrase"]])
-    docs = [_unpacked(x) for x in entries["doc"]]
-    chunk = np.repeat(np.arange(len(entries)), [len(x) for x in docs])
-    doc = np.concatenate(docs)
-    order = np.lexsort((phrase, trigger))
-    starts, group = _groups(phrase[order])
-    smallest = np.empty(len(doc), np.int64)
-    smallest[order] = np.minimum.reduceat(doc[order], starts)[group]
-    starts, group = _groups(trigger[order])
-    lowest, highest = (f.reduceat(phrase[order], starts) for f in (np.minimum, np.maximum))
-    least, most = (f.reduceat(doc[order], starts) for f in (np.minimum, np.maximum))
-    opened = np.empty(len(doc), bool)
-    opened[order] = ((lowest != highest) & (least != most))[group]
-    wanted = np.flatnonzero(opened | (smallest < doc))
-    bounds = np.searchsorted(chunk[wanted], np.arange(len(entries) + 1))
-    names = entries["pfp_chunk"].to_numpy()
-    found = [
-        (names[i], phrase[at].tobytes(), _packed(smallest[at]), opened[at].tobytes(), b"")
-        for i in range(len(entries))
-        if len(at := wanted[bounds[i] : bounds[i + 1]])
-    ]
-    return pd.DataFrame(found, columns=["pfp_chunk", "phrase", "doc", "opened", "size"])
+
+    def settle(key: tuple, entries: pd.DataFrame) -> pd.DataFrame:
+        trigger = np.concatenate([np.frombuffer(x, np.uint32) for x in entries["trigger"]])
+        phrase = np.concatenate([np.frombuffer(x, np.uint64) for x in entries["phrase"]])
+        docs = [_unpacked(x) for x in entries["doc"]]
+        chunk = np.repeat(np.arange(len(entries)), [len(x) for x in docs])
+        doc = np.concatenate(docs)
+        order = np.lexsort((phrase, trigger))
+        starts, group = _groups(phrase[order])
+        new = np.zeros(len(order), np.int64)
+        new[starts] = 1
+        smallest = np.empty(len(doc), np.int64)
+        smallest[order] = np.minimum.reduceat(doc[order], starts)[group]
+        starts, group = _groups(trigger[order])
+        lowest, highest = (f.reduceat(phrase[order], starts) for f in (np.minimum, np.maximum))
+        least, most = (f.reduceat(doc[order], starts) for f in (np.minimum, np.maximum))
+        crowded = np.concatenate([np.frombuffer(x, np.uint32) for x in entries["crowded"]])
+        many = np.isin(trigger[order][starts], crowded) | ((np.add.reduceat(new, starts) > crowd) & (least != most))
+        opened = np.empty(len(doc), np.uint8)
+        opened[order] = np.where(many, HASHED, np.where((lowest != highest) & (least != most), SORTED, 0))[group]
+        wanted = np.flatnonzero((opened > 0) | (smallest < doc))
+        bounds = np.searchsorted(chunk[wanted], np.arange(len(entries) + 1))
+        names = entries["pfp_chunk"].to_numpy()
+        found = [
+            (names[i], phrase[at].tobytes(), _packed(smallest[at]), opened[at].tobytes(), b"")
+            for i in range(len(entries))
+            if len(at := wanted[bounds[i] : bounds[i + 1]])
+        ]
+        return pd.DataFrame(found, columns=["pfp_chunk", "phrase", "doc", "opened", "size"])
+
+    return settle
 
 
 def _send_bytes(width: int, buckets: int):
-    """The bytes of a chunk's opened phrases, each once, by bucket."""
+    """The bytes of a chunk's opened phrases, each once, by bucket; the strings of common triggers by hash, in buckets of their own."""
 
     def send(key: tuple, rows: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         columns = ["bucket", "pfp_chunk", "phrase", "doc", "size", "bytes"]
@@ -164,10 +222,14 @@ def _send_bytes(width: int, buckets: int):
             return pd.DataFrame([], columns=columns)
         asked = np.sort(
             np.concatenate(
-                [np.frombuffer(p, np.uint64)[np.frombuffer(o, bool)] for p, o in zip(found["phrase"], found["opened"])]
+                [np.frombuffer(p, np.uint64)[np.frombuffer(o, np.uint8) == SORTED] for p, o in zip(found["phrase"], found["opened"])]
             )
         )
         chunk = _Chunk(rows, width)
+        many = np.zeros(0, np.uint64)
+        if any(HASHED in o for o in found["opened"]):
+            phrases, triggers, _ = chunk.dictionary()
+            many = _hashed_triggers(found, phrases, triggers)
         sent: dict[int, list[tuple]] = {}
         done = np.zeros(len(asked), bool)
         for parse, text, _ in chunk.parses():
@@ -194,15 +256,41 @@ def _send_bytes(width: int, buckets: int):
                     b"".join(part),
                 )
             )
+        hashes, docs = _first_strings(chunk, many)
+        bucket = _bucket(hashes, buckets)
+        order = np.argsort(bucket, kind="stable")
+        for at in np.split(order, _groups(bucket[order])[0][1:]):
+            if len(at):
+                out.append((buckets + bucket[at[0]], key[0], hashes[at].tobytes(), _packed(docs[at]), b"", b""))
         return pd.DataFrame(out, columns=columns)
 
     return send
 
 
-def _sort_suffixes(width: int):
+def _least_of_strings(entries: pd.DataFrame) -> pd.DataFrame:
+    """For each string that chunks sent by hash the smallest document, where it is earlier than theirs."""
+    strings = np.concatenate([np.frombuffer(x, np.uint64) for x in entries["phrase"]])
+    docs = [_unpacked(x) for x in entries["doc"]]
+    bounds = np.cumsum([0] + [len(x) for x in docs])
+    doc = np.concatenate(docs)
+    order = np.argsort(strings, kind="stable")
+    starts, group = _groups(strings[order])
+    smallest = np.empty(len(doc), np.int64)
+    smallest[order] = np.minimum.reduceat(doc[order], starts)[group]
+    out = []
+    for name, a, b in zip(entries["pfp_chunk"], bounds[:-1], bounds[1:]):
+        at = a + np.flatnonzero(smallest[a:b] < doc[a:b])
+        if len(at):
+            out.append((name, strings[at].tobytes(), _packed(smallest[at]), b"", b""))
+    return pd.DataFrame(out, columns=["pfp_chunk", "phrase", "doc", "opened", "size"])
+
+
+def _sort_suffixes(width: int, buckets: int):
     """For each opened phrase the smallest document of each of its strings, if earlier than its own."""
 
     def sort(key: tuple, entries: pd.DataFrame) -> pd.DataFrame:
+        if key[0] >= buckets:
+            return _least_of_strings(entries)
         phrase = np.concatenate([np.frombuffer(x, np.uint64) for x in entries["phrase"]])
         size = np.concatenate([np.frombuffer(x, np.uint32) for x in entries["size"]]).astype(np.int64)
         docs = [_unpacked(x) for x in entries["doc"]]
@@ -239,10 +327,11 @@ def _sort_suffixes(width: int):
 
 def _marked(chunk: _Chunk, found: pd.DataFrame) -> np.ndarray:
     """Which bytes of the chunk's texts go."""
-    phrase, _, doc = chunk.dictionary()
+    phrase, trigger, doc = chunk.dictionary()
     doc = doc.copy()
+    many = _hashed_triggers(found, phrase, trigger)
     strings_of = np.full(len(phrase), -1)
-    settled = found[found["size"].str.len() == 0]
+    settled = found[found["opened"].str.len() > 0]
     for p, d in zip(settled["phrase"], settled["doc"]):
         place = np.searchsorted(phrase, np.frombuffer(p, np.uint64))
         doc[place] = np.minimum(doc[place], _unpacked(d))
@@ -253,6 +342,13 @@ def _marked(chunk: _Chunk, found: pd.DataFrame) -> np.ndarray:
         strings.append(_unpacked(d))
         total += sizes.sum()
     strings = np.concatenate(strings)
+    # The strings of common triggers that came back, in order; own ones count within the chunk.
+    hashed = found[(found["opened"].str.len() == 0) & (found["size"].str.len() == 0)]
+    told = np.concatenate([np.zeros(0, np.uint64), *[np.frombuffer(p, np.uint64) for p in hashed["phrase"]]])
+    told_doc = np.concatenate([np.zeros(0, np.int64), *[_unpacked(d) for d in hashed["doc"]]])
+    own, own_doc = _first_strings(chunk, many)
+    at = np.searchsorted(own, told)
+    own_doc[at] = told_doc
     change = np.zeros(chunk.starts[-1] + 1, np.int16)
     for parse, text, shift in chunk.parses():
         place = np.searchsorted(phrase, parse.phrase)
@@ -267,6 +363,13 @@ def _marked(chunk: _Chunk, found: pd.DataFrame) -> np.ndarray:
         at = (np.repeat((parse.first + shift)[part], count) + along)[early]
         np.add.at(change, at, 1)
         np.add.at(change, at + chunk.width, -1)
+        common = np.flatnonzero(~whole & np.isin(parse.trigger, many)) if len(many) else []
+        if len(common):
+            start, whose = _along(parse.first[common], parse.last[common])
+            early = own_doc[np.searchsorted(own, _strings(parse.buf, start, chunk.width))] < mine[common[whose]]
+            at = start[early] + shift[common[whose[early]]]
+            np.add.at(change, at, 1)
+            np.add.at(change, at + chunk.width, -1)
     return np.cumsum(change[:-1], dtype=np.int16) > 0
 
 
@@ -289,20 +392,22 @@ def _apply(width: int, columns: list[str]):
     return apply
 
 
-def without_repeats(docs: DataFrame, width: int = WIDTH, chunk_bytes: int = CHUNK) -> DataFrame:
+def without_repeats(
+    docs: DataFrame, width: int = WIDTH, chunk_bytes: int = CHUNK, share: int = SHARE, crowd: int = CROWD
+) -> DataFrame:
     """``docs`` with pfp_bytes, pfp_removed, pfp_spans, pfp_kept (remaining bytes) and pfp_sha256."""
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     buckets = int(size // chunk_bytes + 1)
-    chunked = docs.withColumn("pfp_chunk", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)))
+    chunked = docs.withColumn("pfp_chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)))
     texts = chunked.groupBy("pfp_chunk")
     settled = (
-        texts.applyInPandas(_send(width, buckets), ENTRIES).groupBy("bucket").applyInPandas(_settle, FOUND)
+        texts.applyInPandas(_send(width, buckets, share), ENTRIES).groupBy("bucket").applyInPandas(_settle(crowd), FOUND)
     )
     opened = (
         texts.cogroup(settled.groupBy("pfp_chunk"))
         .applyInPandas(_send_bytes(width, buckets), DICTIONARY)
         .groupBy("bucket")
-        .applyInPandas(_sort_suffixes(width), FOUND)
+        .applyInPandas(_sort_suffixes(width, buckets), FOUND)
     )
     schema = T.StructType(
         [

@@ -1,9 +1,12 @@
 """Jaccard join, repeats and test items against brute force."""
 
+import collections
 import hashlib
 import random
 import re
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -156,6 +159,42 @@ def test_repeats_against_brute_force(spark, monkeypatch, chunk_bytes, piece):
     assert sorted(map(tuple, got)) == brute_repeats(rows, 50)
 
 
+def common_line(n):
+    """Documents with a line of 35 bytes between differing neighbours, and some passages twice."""
+    rng = random.Random(n)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 8)))
+    texts = [" ".join([*(word() for _ in range(12)), "this line is in very many documents", *(word() for _ in range(12))]) for _ in range(n)]
+    return [(i, t if i % 5 else texts[i // 2][20:] + t[:60]) for i, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("share, crowd", [(2, 1000), (1000, 5), (3, 8), (32, 1024)])
+def test_repeats_of_a_common_line(spark, share, crowd):
+    rows = common_line(240)
+    rows += [(None, rows[7][1]), (None, "no id, and a text of its own that is longer than the width")]
+    docs = spark.createDataFrame([(*r, "clash", 1) for r in rows], DOCS)
+    left = repeats.without_repeats(docs, chunk_bytes=6000, share=share, crowd=crowd)
+    got = left.select("doc_id", "pfp_bytes", "pfp_removed", "pfp_spans", "pfp_sha256").collect()
+    known = [(repeats.LAST if i is None else i, t) for i, t in rows]
+    assert sorted((repeats.LAST if r[0] is None else r[0], *r[1:]) for r in map(tuple, got)) == brute_repeats(known, 50)
+
+
+def test_no_bucket_gets_a_common_line():
+    rows, buckets = common_line(3000), 6
+    chunks = [pd.DataFrame(rows[c::buckets], columns=["doc_id", "text"]) for c in range(buckets)]
+    entries = pd.concat([repeats._send(50, buckets)((c,), x) for c, x in enumerate(chunks)])
+    settled = pd.concat([repeats._settle()((b,), x) for b, x in entries.groupby("bucket")])
+    sent = pd.concat([repeats._send_bytes(50, buckets)((c,), x, settled[settled.pfp_chunk == c]) for c, x in enumerate(chunks)])
+    trigger = {}
+    for x in chunks:
+        phrase, of, _ = repeats._Chunk(x, 50).dictionary()
+        trigger.update(zip(phrase.tolist(), of.tolist()))
+    asked = {p for x in sent[sent.bucket < buckets]["phrase"] for p in np.frombuffer(x, np.uint64).tolist()}
+    assert max(collections.Counter(trigger.values()).values()) > 300
+    assert max(collections.Counter(trigger[p] for p in asked).values()) <= buckets * repeats.SHARE
+    sizes = sent[sent.bucket >= buckets].groupby("bucket")["phrase"].agg(lambda x: sum(map(len, x)))
+    assert len(sizes) == buckets and sizes.max() < 1.2 * sizes.min()
+
+
 def test_text_without_repeats_keeps_columns(spark):
     passage = "A passage of more than fifty bytes that two documents hold, é and all. "
     rows = [(1, passage + "First.", "k", 1), (2, "Second. " + passage, "k", 1), (None, passage, "k", 1), (3, None, "k", 1)]
