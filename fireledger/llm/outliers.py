@@ -11,7 +11,7 @@ covariance from the half (``PART``) of its documents that lie closest, so up to
 half of junk does not move them. There are six starts from medians and median deviations:
 by all statistics together, and by each alone. From each, the closest documents by
 Mahalanobis distance are chosen and centre and covariance made anew from them until
-no determinant falls (``STEPS`` times at most), and the start of least determinant is kept for
+nothing changes (``STEPS`` times at most), and the start of least determinant is kept for
 the group; documents within the usual distance then make the final estimate. As most texts have no symbols or repeats at
 all, a variance floor is added, as the regularised form of the method does. A document is
 rejected if its squared distance exceeds ``limit``: 150, far beyond normal tails, as a line
@@ -201,7 +201,7 @@ def _least_spread(begun: DataFrame) -> DataFrame:
     for _ in range(STEPS):
         before = found.select(*_keys(found), F.col("spread").alias("before"))
         found = _estimate(_closest(_distances(tried, found)), _inflation(PART))
-        if found.join(before, _keys(before)).filter(F.col("before") - F.col("spread") > 1e-6).isEmpty():
+        if found.join(before, _keys(before)).filter(F.abs(F.col("spread") - F.col("before")) > 1e-9).isEmpty():
             break
     least = found.groupBy("group").agg(F.min(F.struct("spread", "start"))["start"].alias("start"))
     return stored(found.join(least, ["group", "start"]).drop("start"))
