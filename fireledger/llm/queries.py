@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fireledger.llm import chat, decontaminate, grades, jaccard, langid, lmscore, mixing, outliers, repeats, toxicity
+from fireledger.llm import chat, decontaminate, grades, jaccard, langid, lmscore, mixing, outliers, recompress, repeats, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -261,3 +261,10 @@ def op4_loss_difference(spark: SparkSession, folder: str) -> DataFrame:
 def op5_robust_outliers(spark: SparkSession, folder: str) -> DataFrame:
     """Base rules and robust outliers of language and source over all documents."""
     return outliers.judged(_documents(spark, folder))
+
+
+@_register
+def op12_recompress_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of each document without the windows of 13 words that an earlier one holds."""
+    left = recompress.without_repeats(_documents(spark, folder))
+    return left.select("doc_id", "n_words", "n_removed", "kept_sha256")
