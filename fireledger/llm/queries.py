@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fireledger.llm import chat, decontaminate, grades, jaccard, langid, lmscore, mixing, outliers, recompress, repeats, toxicity
+from fireledger.llm import chat, decontaminate, grades, jaccard, langid, lmscore, manifest, mixing, negatives, outliers, recompress, repeats, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -268,3 +269,95 @@ def op12_recompress_repeats(spark: SparkSession, folder: str) -> DataFrame:
     """What is left of each document without the windows of 13 words that an earlier one holds."""
     left = recompress.without_repeats(_documents(spark, folder))
     return left.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@_register
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's way to the root of the manifest, a third of them held against it in lower case."""
+    spoilt = F.coalesce(_remainder(3) == 0, F.lit(False))
+    lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    return manifest.proofs(_documents(spark, folder), F.when(spoilt, lower).otherwise(F.col("text")))
+
+
+ORACLES["op11_merkle_manifest"] = r"""
+WITH RECURSIVE given AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS tree,
+    concat_ws('', CASE WHEN doc_id IS NULL THEN '-' ELSE strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id END,
+      CASE WHEN source IS NULL THEN '-' ELSE strlen(source) || ':' || source END,
+      CASE WHEN lang IS NULL THEN '-' ELSE strlen(lang) || ':' || lang END,
+      CASE WHEN n_chars IS NULL THEN '-' ELSE strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars END) AS head, text,
+    -- crc32 of the id's digits, a bit at a time.
+    list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: ascii(d)::UBIGINT)),
+      lambda c, d: list_reduce(list_prepend(xor(c, d), [0::UBIGINT for i in range(8)]),
+        lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::UBIGINT) ELSE x // 2 END)) AS crc
+  FROM documents),
+leaves AS (
+  SELECT doc_id, tree, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    CASE WHEN xor(crc, 4294967295::UBIGINT) % 3 = 0
+      THEN sha256(head || coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-'))
+      ELSE sha256(head || coalesce(strlen(text) || ':' || text, '-')) END AS claimed
+  FROM given),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n
+  FROM leaves),
+nodes AS (
+  SELECT 0 AS level, tree, pos, leaf AS hash, n FROM ranked
+  UNION ALL
+  SELECT level + 1, tree, pos // 8, sha256(string_agg(hash, '' ORDER BY pos)), (n + 7) // 8 FROM nodes WHERE n > 1 GROUP BY level, tree, pos // 8, n),
+tops AS (
+  SELECT tree, hash, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1),
+high AS (
+  SELECT 0 AS level, pos, hash, n FROM tops
+  UNION ALL
+  SELECT level + 1, pos // 8, sha256(string_agg(hash, '' ORDER BY pos)), (n + 7) // 8 FROM high WHERE n > 1 GROUP BY level, pos // 8, n),
+kids AS (
+  SELECT level, tree, pos // 8 AS run, list(hash ORDER BY pos) AS hashes FROM nodes WHERE n > 1 GROUP BY ALL
+  UNION ALL
+  SELECT level, '^', pos // 8, list(hash ORDER BY pos) FROM high WHERE n > 1 GROUP BY ALL),
+up AS (
+  SELECT doc_id, tree, leaf, 0 AS level, pos, claimed AS hash, '' AS told FROM ranked
+  UNION ALL
+  SELECT doc_id, u.tree, leaf, u.level + 1, u.pos // 8,
+    sha256(list_aggregate(list_concat(hashes[1:u.pos % 8], [hash], hashes[u.pos % 8 + 2:]), 'string_agg', '')),
+    told || coalesce(list_aggregate(list_concat(hashes[1:u.pos % 8], hashes[u.pos % 8 + 2:]), 'string_agg', ''), '')
+  FROM up u JOIN kids k ON k.level = u.level AND k.tree = u.tree AND k.run = u.pos // 8),
+reached AS (SELECT * FROM up QUALIFY row_number() OVER (PARTITION BY doc_id, tree, leaf ORDER BY level DESC) = 1),
+over AS (
+  SELECT doc_id, leaf, t.hash AS subroot, 0 AS level, t.pos, r.hash, told FROM reached r JOIN tops t USING (tree)
+  UNION ALL
+  SELECT doc_id, leaf, subroot, o.level + 1, o.pos // 8,
+    sha256(list_aggregate(list_concat(hashes[1:o.pos % 8], [hash], hashes[o.pos % 8 + 2:]), 'string_agg', '')),
+    told || coalesce(list_aggregate(list_concat(hashes[1:o.pos % 8], hashes[o.pos % 8 + 2:]), 'string_agg', ''), '')
+  FROM over o JOIN kids k ON k.level = o.level AND k.tree = '^' AND k.run = o.pos // 8),
+made AS (SELECT * FROM over QUALIFY row_number() OVER (PARTITION BY doc_id, leaf ORDER BY level DESC) = 1)
+SELECT doc_id, leaf, subroot, root, sha256(told) AS proof_sha256, hash AS folded_root, hash = root AS verified
+FROM made, (SELECT hash AS root FROM high WHERE n = 1)
+"""
+
+
+@_register
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives for the first positives of every hundredth vector."""
+    vectors = spark.read.parquet(f"{folder}/embeddings.parquet")
+    turned = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(vectors.withColumn("label", turned), F.col("vec_id") % 100 == 0)
+
+
+ORACLES["op13_hard_negatives"] = r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT * FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, n.vec_id AS negative_id,
+  p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+WINDOW w AS (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id)
+QUALIFY row_number() OVER w <= 10
+"""

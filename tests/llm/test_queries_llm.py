@@ -14,7 +14,7 @@ FOLDER = str(TESTDATA / "sf0.01")
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "conversations", "benchmark", "labels"):
+    for table in ("documents", "embeddings", "conversations", "benchmark", "labels"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     expected = con.execute(ORACLES[name]).df()
     got = QUERIES[name](spark, FOLDER).toPandas()
@@ -26,7 +26,7 @@ def test_query_matches_sql(spark, name):
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= __spark_entry__.queries().keys()
 
 
