@@ -39,6 +39,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from hashlib import sha256
+from itertools import compress
 
 import numpy as np
 import pandas as pd
@@ -46,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fireledger.llm.packed import bits, numbers, planes, steps, unbits, unstepped
-from fireledger.llm.words import PIECE, WHITE, mixed, pieces, words_of
+from fireledger.llm.words import PIECE, mixed, pieces, words_of
 
 WIDTH = 13
 ROUNDS = 3
@@ -114,17 +115,17 @@ class _Block:
         self.spelt = [np.zeros(len(self.start), np.uint64), np.zeros(len(self.start), np.uint64)]
         self.made = np.zeros(0, bool)
 
-    def _spell(self, x: np.ndarray, among: np.ndarray | None = None) -> None:
+    def _spell(self, x: np.ndarray, among: np.ndarray) -> None:
         one, two = self.spelt
-        if among is None:
-            self.spelt = [mixed(one ^ x, 190), two * np.uint64(0xD6E8FEB86659FD93) + x]
-        else:
-            one[among] = mixed(one[among] ^ x, 191)
-            two[among] = two[among] * np.uint64(0xD6E8FEB86659FD93) + x
+        one[among] = mixed(one[among] ^ x, 190)
+        two[among] = two[among] * np.uint64(0xD6E8FEB86659FD93) + x
 
     def advance(self, round: int, spell: bool) -> None:
         """Pop the ends of all windows and name what is between."""
         now = _Named(self.symbols, self.text, round)
+        if not len(self.symbols):
+            self.made = now.made
+            return
         f, g = now.run[self.left], now.run[self.right - 1]
         whole = self.left < self.right
         single = f == g
@@ -143,26 +144,37 @@ class _Block:
                 np.where(back, now.name[g - 1], zero),
             ]
             for x in popped:
-                self._spell(np.where(whole, x, zero))
+                self._spell(x[whole], np.flatnonzero(whole))
         inside = whole & ~single & (low < high)
         top = len(now.place) - 1
         self.left = np.where(inside, now.place[np.minimum(low, top)], 0).astype(np.int32)
         self.right = np.where(inside, now.place[np.minimum(high - 1, top)] + 1, 0).astype(np.int32)
         self.symbols, self.text, self.made = now.new, now.text, now.made
 
+    def _inside(self) -> np.ndarray:
+        """Whether a window's interior has a symbol."""
+        change = np.bincount(self.left, minlength=len(self.symbols) + 1) - np.bincount(self.right, minlength=len(self.symbols) + 1)
+        return np.cumsum(change[:-1]) > 0
+
     def asked(self) -> tuple[np.ndarray, np.ndarray]:
         """New names inside a window, and their texts."""
-        change = np.bincount(self.left, minlength=len(self.symbols) + 1) - np.bincount(self.right, minlength=len(self.symbols) + 1)
-        at = np.flatnonzero(self.made & (np.cumsum(change[:-1]) > 0))
-        return _short(self.symbols[at]), self.text[at]
+        self.at = np.flatnonzero(self.made & self._inside())
+        return _short(self.symbols[self.at]), self.text[self.at]
 
     def keep(self, live: np.ndarray) -> None:
-        """Give up the windows with a new name that is not among ``live``."""
-        dead = np.zeros(len(self.symbols) + 1, np.int64)
-        dead[1:] = np.cumsum(self.made & ~_among(_short(self.symbols), live))
+        """Give up the windows with a new name that is not among ``live``, and what is in no other window."""
+        dead = np.zeros(len(self.symbols) + 1, np.int32)
+        dead[1 + self.at[~_among(_short(self.symbols[self.at]), live)]] = 1
+        dead = np.cumsum(dead)
         left = np.flatnonzero(dead[self.right] == dead[self.left])
         self.start, self.left, self.right, self.owner = self.start[left], self.left[left], self.right[left], self.owner[left]
         self.spelt = [x[left] for x in self.spelt]
+        # An interior stays in one piece, and what comes to stand beside it makes no difference.
+        inside = self._inside()
+        place = np.zeros(len(inside) + 1, np.int32)
+        place[1:] = np.cumsum(inside)
+        self.symbols, self.text = self.symbols[inside], self.text[inside]
+        self.left, self.right = place[self.left], place[self.right]
 
     def finish(self) -> None:
         """Spell the interiors that the last round leaves."""
@@ -339,17 +351,13 @@ def _tell(rounds: int):
 
 def _kept(text: bytes, gone: np.ndarray) -> bytes:
     """The words of a text that are not gone, joined by one space."""
-    buf = np.frombuffer(text + b" ", np.uint8)
-    space = WHITE[buf]
-    edges = np.diff(space.astype(np.int8), prepend=np.int8(1))
-    start, end = np.flatnonzero(edges == -1)[~gone], np.flatnonzero(edges == 1)
-    end = end[len(end) - len(gone) :][~gone]
-    change = np.zeros(len(buf) + 1, np.int8)
-    change[start] = 1
-    # A word takes the white space behind it along; the next word may start right there.
-    np.add.at(change, end + 1, -1)
-    left = np.where(space, np.uint8(0x20), buf)[np.cumsum(change[:-1], dtype=np.int8) > 0]
-    return left[:-1].tobytes()
+    left, done = [], 0
+    for part in _parts(text):
+        # Split at the white space of ASCII.
+        words = part.split()
+        left.extend(compress(words, ~gone[done : done + len(words)]) if gone.any() else words)
+        done += len(words)
+    return b" ".join(left)
 
 
 def _apply(width: int, rounds: int):
