@@ -17,7 +17,13 @@ from pyspark.sql import SparkSession
 
 from fireledger.operators.audits import key_reports, quantity_report
 from fireledger.plans.charts import CHARTS
-from fireledger.plans.refresh import export_cleaned, export_csv, refresh_from_files, write_audits
+from fireledger.plans.refresh import (
+    export_cleaned,
+    export_csv,
+    read_aggregates,
+    refresh_from_files,
+    write_audits,
+)
 from fireledger.plans.reports import REPORTS
 from fireledger.plans.star import TableStar
 from fireledger.session import SETTINGS, shared_folder
@@ -36,6 +42,8 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     build.add_argument("--csv", help="also export the dimensions to this folder")
     build.add_argument("--cleaned-csv", help="also export the cleaned records to this folder")
     build.add_argument("--audits", help="also write the audits to this folder")
+    build.add_argument("--quarantine", help="put lines that do not parse in this folder instead of emptying their fields")
+    build.add_argument("--rules", action="store_true", help="stop at NULL primary keys and texts that are too long")
     build.add_argument("--work", help="shared folder for steps between; each refresh overwrites it")
     for name, choices in (("report", REPORTS), ("chart", CHARTS), ("audit", AUDITS)):
         command = commands.add_parser(name, help=f"one {name} to a CSV folder")
@@ -70,11 +78,12 @@ def main(argv: list[str] | None = None) -> None:
     if arguments.command == "refresh":
         files = (arguments.fires, arguments.countries, arguments.gases)
         work = arguments.work or f"{shared_folder(spark)}/fireledger-{arguments.database}"
-        tables = refresh_from_files(spark, *files, arguments.database, work)
+        options = {"quarantine": arguments.quarantine, "rules": arguments.rules}
+        tables = refresh_from_files(spark, *files, arguments.database, work, **options)
         if arguments.csv:
             export_csv(tables, arguments.csv)
         if arguments.cleaned_csv:
-            export_cleaned(spark, work, arguments.cleaned_csv)
+            export_cleaned(spark, arguments.database, work, arguments.cleaned_csv)
         if arguments.audits:
             write_audits(tables, arguments.audits)
         return
@@ -84,7 +93,7 @@ def main(argv: list[str] | None = None) -> None:
         write_csv(made[arguments.name], arguments.output)
     else:
         function = (REPORTS if arguments.command == "report" else CHARTS)[arguments.name]
-        write_csv(function(TableStar(tables), **_parameters(function, arguments.parameters)), arguments.output)
+        write_csv(function(TableStar(tables, read_aggregates(spark, arguments.database)), **_parameters(function, arguments.parameters)), arguments.output)
 
 
 if __name__ == "__main__":

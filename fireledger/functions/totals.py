@@ -37,6 +37,39 @@ def _joined_parts(high: Column, middle: Column, low: Column) -> Column:
     return (whole.cast("decimal(34,0)") * F.lit("0.001").cast("decimal(3,3)")).cast(TOTAL)
 
 
+def sum_states(df: DataFrame, *keys: str, value: str, copies: str | None = None) -> DataFrame:
+    """``keys`` with the three sums of a double column and the count of its values.
+
+    States of parts of the data merge to the state of all. ``copies`` names a column that
+    says how many records a row stands for.
+    """
+    whole, times = thousandths(F.col(value)), F.lit(1) if copies is None else F.col(copies)
+
+    def summed(part: Column) -> Column:
+        return F.sum(part if copies is None else part * times)
+
+    return df.groupBy(*[F.col(f"`{key}`") for key in keys]).agg(
+        summed(F.shiftright(whole, 2 * _BITS)).alias("high"),
+        summed(F.shiftright(whole, _BITS).bitwiseAND(F.lit(_MASK))).alias("middle"),
+        summed(whole.bitwiseAND(F.lit(_MASK))).alias("low"),
+        F.coalesce(F.sum(F.when(whole.isNotNull(), times)), F.lit(0)).cast("long").alias("records"),
+    )
+
+
+def merge_states(states: DataFrame, *keys: str) -> DataFrame:
+    """The states of ``keys``, from states by these and other keys."""
+    merged = [F.sum(part).alias(part) for part in ("high", "middle", "low")]
+    records = F.coalesce(F.sum("records"), F.lit(0)).alias("records")
+    return states.groupBy(*[F.col(f"`{key}`") for key in keys]).agg(*merged, records)
+
+
+def totals_of(states: DataFrame, *keys: str, out: str = "total", records: str | None = None) -> DataFrame:
+    """``keys`` with the sum as decimal(38,3), NULL where nothing was counted."""
+    counted = [F.col("records").alias(records)] if records else []
+    total = _joined_parts(F.col("high"), F.col("middle"), F.col("low"))
+    return states.select(*[F.col(f"`{key}`") for key in keys], *counted, total.alias(out))
+
+
 def total_by(
     df: DataFrame, *keys: str, value: str, out: str = "total", records: str | None = None
 ) -> DataFrame:
@@ -45,21 +78,13 @@ def total_by(
     ``value`` is a double column of records or a decimal column of earlier totals.
     ``records`` names a count of the non-NULL values.
     """
+    if not isinstance(df.schema[value].dataType, DecimalType):
+        return totals_of(sum_states(df, *keys, value=value), *keys, out=out, records=records)
     column = F.col(value)
     counted = [F.count(column).alias(records)] if records else []
     kept = [F.col(f"`{key}`") for key in keys] + ([F.col(records)] if records else [])
-    if isinstance(df.schema[value].dataType, DecimalType):
-        summed = df.groupBy(*kept[: len(keys)]).agg(F.sum(column).cast(TOTAL).alias(out), *counted)
-        return summed.select(*kept, out)
-    whole = thousandths(column)
-    summed = df.groupBy(*kept[: len(keys)]).agg(
-        F.sum(F.shiftright(whole, 2 * _BITS)).alias("_high"),
-        F.sum(F.shiftright(whole, _BITS).bitwiseAND(F.lit(_MASK))).alias("_middle"),
-        F.sum(whole.bitwiseAND(F.lit(_MASK))).alias("_low"),
-        *counted,
-    )
-    parts = _joined_parts(F.col("_high"), F.col("_middle"), F.col("_low"))
-    return summed.select(*kept, parts.alias(out))
+    summed = df.groupBy(*kept[: len(keys)]).agg(F.sum(column).cast(TOTAL).alias(out), *counted)
+    return summed.select(*kept, out)
 
 
 def mean(total: Column, records: Column) -> Column:

@@ -25,7 +25,7 @@ def _cut(rows: DataFrame, limit: int | None) -> DataFrame:
 
 def grand_total(star: Star) -> DataFrame:
     """One number: the sum of all records."""
-    return total_by(star.emissions(["quantity"]), value="quantity").select(
+    return star.totals(complete=True).select(
         F.col("total").cast("double").alias("total_emission")
     )
 

@@ -50,8 +50,8 @@ def country_total_per_top_gas(star: Star, k: int = 2) -> DataFrame:
     ranks come from one aggregation of the fact.
     """
     keys = ["country_code", "year", "gas_id"]
-    rows = star.emissions([*keys, "quantity"]).where(F.col("country_code").isNotNull())
-    amounts = total_by(rows, *keys, value="quantity").withColumn(
+    totals = star.totals(*keys, complete=True).where(F.col("country_code").isNotNull())
+    amounts = totals.withColumn(
         "all_time", F.sum("total").over(Window.partitionBy("country_code"))
     )
     counted = (

@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fireledger.functions.totals import total_by
+from fireledger.functions.totals import merge_states, total_by, totals_of
+from fireledger.schemas import AGGREGATES
 
 # Dimension -> the fact key that leads to it.
 FACT_KEY = {
@@ -118,10 +119,14 @@ class Star:
 class TableStar(Star):
     """The star over the warehouse tables.
 
-    A fact table without the ``year`` column gets it from the month.
+    A fact table without the ``year`` column gets it from the month. ``aggregates`` are the
+    stored sums of the fact (see `schemas.AGGREGATES`): totals come from the smallest one that
+    has all keys asked for, and from the fact if none has.
     """
 
-    def __init__(self, tables: dict[str, DataFrame]):
+    def __init__(self, tables: dict[str, DataFrame], aggregates: dict[str, DataFrame] | None = None):
+        self._aggregates = aggregates or {}
+        self.years = tables["year"]
         self.continents = tables["continent"]
         self.regions = tables["region"]
         self.countries = tables["country"]
@@ -136,3 +141,44 @@ class TableStar(Star):
     def emissions(self, columns: Sequence[str], year: int | None = None) -> DataFrame:
         rows = self._fact if year is None else self._fact.where(F.col("year") == year)
         return rows.select(*columns)
+
+    def totals(
+        self, *keys: str, year: int | None = None, records: str | None = None, complete: bool = False
+    ) -> DataFrame:
+        asked = {*keys, *([] if year is None else ["year"])}
+        holding = [name for name in self._aggregates if asked <= set(AGGREGATES[name])]
+        if not holding:
+            return super().totals(*keys, year=year, records=records, complete=complete)
+        rows = self._aggregates[min(holding, key=self._size)]
+        if year is not None:
+            rows = rows.where(F.col("year") == year)
+        if not complete:
+            rows = rows.na.drop(subset=list(keys))
+        return totals_of(merge_states(rows, *keys), *keys, records=records)
+
+    def _size(self, name: str) -> tuple[int, str]:
+        """The size of an aggregate as Catalyst knows it, and its name for ties."""
+        size = self._aggregates[name]._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(str(size)), name
+
+    def emissions_during(
+        self, columns: Sequence[str], years: Column | None = None, months: Column | None = None
+    ) -> DataFrame:
+        """Columns of the records of the years and months for which the conditions hold.
+
+        ``years`` may test ``year`` and ``year_total``, ``months`` may test ``month`` (1 to 12)
+        and ``month_name``. The years that are left are joined on the fact's partition
+        column, so Spark reads the files of these years only, which it knows when the query
+        runs (dynamic partition pruning). Each table is joined by itself, see `named`.
+        """
+        rows = self._fact
+        if years is not None:
+            known = self.years.select(F.col("value").alias("year"), F.col("total_gas_emission").alias("year_total"))
+            chosen = known.where(years).select(F.col("year").alias("_year"))
+            rows = rows.join(chosen, F.col("year") == F.col("_year"))
+        if months is not None:
+            known = self.months.select(
+                F.col("id").alias("_month_id"), F.col("num_value").alias("month"), F.col("name").alias("month_name")
+            )
+            rows = rows.join(known.where(months).select("_month_id"), F.col("month_id") == F.col("_month_id"))
+        return rows.select(*columns)

@@ -110,7 +110,10 @@ _JOBS = _RAW + f""", cleaned AS (
     SELECT DISTINCT region_code AS code, region AS name FROM listed
     WHERE coalesce(region_code, region) IS NOT NULL
 ), fact AS (
-    SELECT emissions_quantity AS quantity, q, c.code AS country_code, l.month_id, g.id AS gas_id,
+    SELECT coalesce(f.year, 0) * 1099511627776 + row_number() OVER (PARTITION BY f.year ORDER BY md5(concat_ws('|',
+               coalesce(CAST(f.month AS VARCHAR), '-'), coalesce(f.alpha_3, '-'), coalesce(f.gas, '-'),
+               coalesce(CAST(CAST(q * 1000 AS BIGINT) AS VARCHAR), '-')))) AS id,
+           emissions_quantity AS quantity, q, c.code AS country_code, l.month_id, g.id AS gas_id,
            CASE WHEN l.month_id IS NOT NULL THEN f.year END AS year
     FROM cleaned f LEFT JOIN country_dim c ON f.alpha_3 = c.alpha_3
                    LEFT JOIN gas_dim g ON f.gas = g.chemical_label
@@ -357,6 +360,18 @@ _ORACLES = {
     "job_time_lookup": _jobs("SELECT year_id, num_value, month_id, value FROM lookup"),
     "job_fact_emission": _jobs("SELECT * EXCLUDE (q) FROM fact"),
     "job_full_refresh": _jobs(_REFRESHED),
+    "sink_csv_ordered": _star("SELECT count(DISTINCT country) AS countries, 0 AS breaches FROM rec"),
+    "job_incremental_refresh": _jobs(_REFRESHED),
+    "src_csv_quarantine": _raw("""
+        SELECT CASE WHEN gas = 'UNLISTED' THEN '(field too many)' WHEN temporal_granularity = 'F' THEN '(no number)'
+                    ELSE gas END AS gas, count(*) AS lines
+        FROM fires GROUP BY 1"""),
+    "wh_star_during": _jobs("""
+        SELECT c.name AS country, max(quantity) AS largest, min(quantity) AS smallest, count(*) AS records
+        FROM fact f JOIN month_dim m ON f.month_id = m.id JOIN year_dim y ON m.year_id = y.id
+             JOIN country_dim c ON f.country_code = c.code
+        WHERE m.num_value = 6 AND y.total_gas_emission > (SELECT avg(total_gas_emission) FROM year_dim)
+        GROUP BY f.country_code, c.name"""),
     "q01_top_month": _star("""
         SELECT CAST(sum(q) AS DOUBLE) AS max_total_emission, month_id,
                monthname(make_date(2000, month, 1)) AS month_name

@@ -19,7 +19,7 @@ from fireledger.operators.ranking import top_ranked
 from fireledger.plans import calendar, charts, gases, location, reports
 from fireledger.plans.cleaning import RENAMED, clean_fires, monthly_quantities
 from fireledger.plans.fact import emission_fact
-from fireledger.plans.refresh import refresh
+from fireledger.plans.refresh import read_aggregates, refresh, refresh_from_files
 from fireledger.plans.star import Star, TableStar
 from fireledger.registry import standin
 from fireledger.registry.standin import Given
@@ -29,8 +29,10 @@ from fireledger.sources import (
     create_tables,
     malformed_fields,
     overwrite_table,
+    overwrite_tables,
     read_csv,
     read_tables,
+    split_csv,
     write_csv,
 )
 
@@ -67,7 +69,8 @@ def _warehouse(spark: SparkSession, folder: str) -> Star:
     """The star over the tables of one refresh for each session and folder."""
     key = (spark.sparkContext.applicationId, folder)
     if key not in _WAREHOUSES:
-        _WAREHOUSES[key] = TableStar(_refreshed(spark, folder))
+        database, tables = _refreshed(spark, folder)
+        _WAREHOUSES[key] = TableStar(tables, read_aggregates(spark, database))
     return _WAREHOUSES[key]
 
 
@@ -131,8 +134,7 @@ def src_table(spark, folder):
     database = _database(work)
     create_tables(spark, database, location=work)
     rows = _star_tables(spark, folder)
-    for name in ("region", "country"):
-        overwrite_table(rows[name], database, name)
+    overwrite_tables(spark, database, {name: rows[name] for name in ("region", "country")})
     tables = read_tables(spark, database)
     regions = tables["region"].select(F.col("code").alias("region_code"), F.col("name").alias("region"))
     return tables["country"].join(regions, "region_code").select("code", "name", "region")
@@ -147,6 +149,21 @@ def sink_csv_overwrite(spark, folder):
     return read_csv(spark, path, TABLES["year"])
 
 
+@_key("sink_csv_ordered")
+def sink_csv_ordered(spark, folder):
+    """Countries by their total, in five files that follow the order: the rows of each file
+    between its largest and smallest total, and whether these are within those of its neighbours."""
+    path, star = work_folder(spark), standin.StandInStar(spark, folder)
+    totals = star.total_by("country").select("country", _double("total"))
+    write_csv(totals, path, files=5, order=[F.col("total").desc(), "country"])
+    read = read_csv(spark, path, totals.schema).withColumn("file", F.regexp_extract(F.input_file_name(), r"part-(\d+)", 1))
+    files = read.groupBy("file").agg(F.count("*").alias("rows"), F.min("total").alias("low"), F.max("total").alias("high"))
+    after = F.lead("high").over(Window.partitionBy(F.lit(1)).orderBy("file"))
+    return files.withColumn("after", after).agg(
+        F.sum("rows").alias("countries"), F.count_if(F.col("after") > F.col("low")).alias("breaches")
+    )
+
+
 @_key("sink_table_overwrite")
 def sink_table_overwrite(spark, folder):
     work = work_folder(spark)
@@ -165,10 +182,8 @@ def ddl_star_schema(spark, folder):
     work = work_folder(spark)
     database = _database(work)
     create_tables(spark, database, location=work)
-    for name, rows in _star_tables(spark, folder).items():
-        overwrite_table(rows, database, name)
     parts = []
-    for name, table in read_tables(spark, database).items():
+    for name, table in overwrite_tables(spark, database, _star_tables(spark, folder)).items():
         types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in table.schema)
         parts.append(
             table.agg(F.count("*").alias("records")).select(
@@ -202,7 +217,7 @@ def audit_primary_key(spark, folder):
 
 @_key("audit_foreign_key")
 def audit_foreign_key(spark, folder):
-    return audits.foreign_key_report(_refreshed(spark, folder))
+    return audits.foreign_key_report(_refreshed(spark, folder)[1])
 
 
 @_key("audit_not_null")
@@ -245,6 +260,27 @@ def audit_quantities(cleaned):
     return audits.quantity_report(cleaned.select(spoilt.otherwise(quantity).alias("quantity")))
 
 
+@_key("src_csv_quarantine")
+def src_csv_quarantine(spark, folder):
+    """Records by gas, and the lines of the files that do not parse, read in one pass."""
+    work = work_folder(spark)
+    spoilt = standin.raw_fires(Given(spark, folder)).withColumn(
+        "emissions_quantity",
+        F.when(F.col("temporal_granularity") == "F", "n/a").otherwise(F.col("emissions_quantity").cast("string")),
+    )
+    torn = spoilt.withColumn("gas", F.when(F.col("gas") == "UNLISTED", "UNLISTED;torn").otherwise(F.col("gas")))
+    torn.write.csv(f"{work}/raw", header=True, sep=";", quote="")
+    good, lines, _ = split_csv(spark, f"{work}/raw", RAW_FIRES, f"{work}/split", delimiter=";")
+    torn_apart = F.col("line").contains("UNLISTED;torn")
+    what = F.when(torn_apart, "(field too many)").otherwise("(no number)")
+    return (
+        good.select("gas")
+        .unionByName(lines.select(what.alias("gas")))
+        .groupBy("gas")
+        .agg(F.count("*").alias("lines"))
+    )
+
+
 # --- projections and filters -------------------------------------------------
 
 
@@ -641,8 +677,8 @@ def job_time_lookup(cleaned):
 
 @_key("job_fact_emission")
 def job_fact_emission(spark, folder):
-    """Without its id, which depends on how the input files are split."""
-    return _staged_fact(spark, folder).drop("id")
+    """With its id, which the content of the records decides."""
+    return _staged_fact(spark, folder)
 
 
 def _staged_fact(spark, folder) -> DataFrame:
@@ -660,23 +696,17 @@ def _staged_fact(spark, folder) -> DataFrame:
     return emission_fact(cleaned, countries, gas, lookup)
 
 
-def _refreshed(spark, folder) -> dict[str, DataFrame]:
+def _refreshed(spark, folder) -> tuple[str, dict[str, DataFrame]]:
+    """A database made by a refresh, and its tables."""
     given, work = Given(spark, folder), work_folder(spark)
-    return refresh(
-        standin.raw_fires(given),
-        standin.raw_countries(given),
-        standin.raw_gases(given),
-        _database(work),
-        work,
-        location=f"{work}/warehouse",
-    )
+    raw = standin.raw_fires(given), standin.raw_countries(given), standin.raw_gases(given)
+    return _database(work), refresh(*raw, _database(work), work, location=f"{work}/warehouse")
 
 
-@_key("job_full_refresh")
-def job_full_refresh(spark, folder):
+def _measured(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows of each table and the sum of its measure."""
     parts = []
-    for name, table in _refreshed(spark, folder).items():
+    for name, table in tables.items():
         measure = {"gas_emission": "quantity"}.get(name, "total_gas_emission")
         if measure in table.columns:
             total = total_by(table, value=measure, records="measured").select(_double("total"))
@@ -690,6 +720,27 @@ def job_full_refresh(spark, folder):
     return reduce(DataFrame.unionByName, parts)
 
 
+@_key("job_full_refresh")
+def job_full_refresh(spark, folder):
+    return _measured(_refreshed(spark, folder)[1])
+
+
+@_key("job_incremental_refresh")
+def job_incremental_refresh(spark, folder):
+    """The tables after a refresh from some files and one more after others were added."""
+    given, work = Given(spark, folder), work_folder(spark)
+    fires = standin.raw_fires(given)
+    late = F.col("start_time") >= f"{YEAR}"
+    write_csv(fires.where(~late), f"{work}/raw/fires")
+    write_csv(standin.raw_countries(given), f"{work}/raw/countries")
+    write_csv(standin.raw_gases(given), f"{work}/raw/gases")
+    paths = [f"{work}/raw/{name}" for name in ("fires", "countries", "gases")]
+    target = _database(work), f"{work}/steps", f"{work}/warehouse"
+    refresh_from_files(spark, *paths, *target)
+    fires.where(late).write.mode("append").csv(paths[0], header=True)
+    return _measured(refresh_from_files(spark, *paths, *target))
+
+
 # --- reports ---------------------------------------------------------------------------
 
 
@@ -709,6 +760,20 @@ _on_star("q10_continent_range")(reports.continent_ranges)
 _on_star("q11_country_year_sum")(reports.country_year_totals)
 
 
+@_key("wh_star_during")
+def wh_star_during(spark, folder):
+    """Largest and smallest record by country, in June of the years above the mean year."""
+    star = _warehouse(spark, folder)
+    typical = star.years.agg(F.avg("total_gas_emission")).scalar()
+    rows = star.emissions_during(
+        ["country_code", "quantity"], years=F.col("year_total") > typical, months=F.col("month") == 6
+    ).where("country_code IS NOT NULL")
+    found = rows.groupBy("country_code").agg(
+        F.max("quantity").alias("largest"), F.min("quantity").alias("smallest"), F.count("*").alias("records")
+    )
+    return star.named(found, "country").select("country", "largest", "smallest", "records")
+
+
 # --- chart datasets ----------------------------------------------------------------------
 
 

@@ -11,6 +11,7 @@ from pyspark.sql.types import (
     StringType,
     StructField,
     StructType,
+    TimestampType,
 )
 
 
@@ -88,7 +89,47 @@ TABLES = {
     ),
 }
 
-PARTITIONED_BY = {"gas_emission": ["year"]}
+# What a refresh keeps to go on from: records counted by their values, the sums behind
+# the totals, and the files that were read.
+STATES = {
+    "records": _table(
+        alpha_3=StringType,
+        gas=StringType,
+        quantity=DoubleType,
+        month=IntegerType,
+        copies=LongType,
+        year=IntegerType,
+    ),
+    "monthly": _table(
+        alpha_3=StringType,
+        year=IntegerType,
+        month=IntegerType,
+        high=LongType,
+        middle=LongType,
+        low=LongType,
+        records=LongType,
+    ),
+    "source_files": _table(
+        kind=StringType, path=StringType, length=LongType, modified=TimestampType, batch=LongType
+    ),
+}
+
+# Stored sums of the fact by some of its keys, from which reports are answered.
+_KEYS = {"country_code": StringType, "gas_id": LongType, "month_id": LongType}
+_SUMS = {"high": LongType, "middle": LongType, "low": LongType, "records": LongType}
+AGGREGATES = {
+    "cube": ("country_code", "gas_id", "month_id", "year"),
+    "by_country_gas_year": ("country_code", "gas_id", "year"),
+    "by_country_year": ("country_code", "year"),
+    "by_gas_year": ("gas_id", "year"),
+    "by_month": ("month_id", "year"),
+}
+AGGREGATE_TABLES = {
+    name: _table(**{key: _KEYS[key] for key in keys if key != "year"}, **_SUMS, year=IntegerType)
+    for name, keys in AGGREGATES.items()
+}
+
+PARTITIONED_BY = {"gas_emission": ["year"], "records": ["year"], "cube": ["year"]}
 
 PRIMARY_KEYS = {
     "continent": "code",
@@ -100,6 +141,24 @@ PRIMARY_KEYS = {
     "gas_emission": "id",
 }
 
+# The longest texts that the tables take, in characters.
+LENGTHS = {
+    ("continent", "code"): 3,
+    ("continent", "name"): 255,
+    ("region", "code"): 3,
+    ("region", "name"): 255,
+    ("region", "continent_code"): 3,
+    ("country", "code"): 5,
+    ("country", "name"): 255,
+    ("country", "alpha_3"): 3,
+    ("country", "region_code"): 3,
+    ("country", "alpha_2"): 2,
+    ("month", "name"): 255,
+    ("gas", "name"): 255,
+    ("gas", "chemical_label"): 255,
+    ("gas_emission", "country_code"): 5,
+}
+
 # (child table, column) -> (parent table, column)
 FOREIGN_KEYS = {
     ("region", "continent_code"): ("continent", "code"),
@@ -114,3 +173,22 @@ FOREIGN_KEYS = {
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """The columns of ``schema``, in its order and types."""
     return df.select([F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema])
+
+
+def ruled(df: DataFrame, table: str) -> DataFrame:
+    """``df``, which fails when run at a row without its table's primary key or with a text that is too long.
+
+    The error names the rule and, for a text, its length. The rules are tested in the pass
+    that writes the rows.
+    """
+    key = PRIMARY_KEYS.get(table)
+    checked = {}
+    for field in df.schema:
+        value, length = F.col(f"`{field.name}`"), LENGTHS.get((table, field.name))
+        if length is not None:
+            said = F.format_string(f"{table}.{field.name} holds more than {length} characters: %s", F.length(value))
+            value = F.when(F.length(value) > length, F.raise_error(said)).otherwise(value)
+        if field.name == key:
+            value = F.when(value.isNull(), F.raise_error(F.lit(f"{table}.{field.name} is NULL"))).otherwise(value)
+        checked[field.name] = value.cast(field.dataType).alias(field.name)
+    return df.select(*checked.values())

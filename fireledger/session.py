@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,12 +48,12 @@ def work_folder(spark: SparkSession) -> str:
     return folder
 
 
-def stage(df: DataFrame, folder: str, name: str) -> DataFrame:
-    """Write ``df`` as parquet and read it back.
+def stage(df: DataFrame, folder: str, name: str, parts: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` as parquet, in folders by ``parts``, and read it back.
 
     Cuts lineage, and gives Catalyst the true file size, so it broadcasts the
     table in later joins only when it is below autoBroadcastJoinThreshold.
     """
     path = f"{folder}/{name}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*parts).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,69 +2,46 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from contextlib import contextmanager
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fireledger.schemas import PARTITIONED_BY, TABLES, conform
+from fireledger.schemas import TABLES
+from fireledger.sources.versions import Draft, current_number, quoted, version_database
 
 
-def _quoted(*names: str) -> str:
-    return ".".join("`" + name.replace("`", "``") + "`" for name in names)
+def create_tables(spark: SparkSession, database: str, location: str | None = None) -> None:
+    """Create the seven typed tables, empty, if absent; ``location`` is for a new database."""
+    if not current_number(spark, database):
+        Draft(spark, database, location).publish()
 
 
-def create_tables(
+def overwrite_tables(
     spark: SparkSession,
     database: str,
+    rows: Mapping[str, DataFrame],
     location: str | None = None,
-    names: Iterable[str] = tuple(TABLES),
-) -> None:
-    """Create the typed tables that are absent; ``location`` is for a new database."""
-    where = " LOCATION '{}'".format(location.replace("\\", "\\\\").replace("'", "\\'")) if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(database)}{where}")
-    for name in names:
-        columns = ", ".join(f"{_quoted(f.name)} {f.dataType.simpleString()}" for f in TABLES[name])
-        keys = ", ".join(_quoted(key) for key in PARTITIONED_BY.get(name, []))
-        partitioned = f" PARTITIONED BY ({keys})" if keys else ""
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {_quoted(database, name)} ({columns}) USING parquet{partitioned}"
-        )
+    rules: bool = False,
+) -> dict[str, DataFrame]:
+    """Replace the rows of some warehouse tables together, keep their declared types, read all back.
 
-
-@contextmanager
-def _all_partitions_replaced(spark: SparkSession):
-    """In dynamic mode an overwrite would leave partitions that have no new rows.
-
-    The setting is the session's, so one session writes one table at a time.
+    Readers see all old tables until all new ones are written (see ``versions``). With
+    ``rules`` a row without a primary key or with too long a text stops the write.
     """
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "static")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    draft = Draft(spark, database, location, rules)
+    for name, df in rows.items():
+        draft.save(name, df)
+    draft.publish()
+    return read_tables(spark, database)
 
 
 def overwrite_table(df: DataFrame, database: str, name: str) -> DataFrame:
-    """Replace the rows of a warehouse table, keep its declared types, read it back.
-
-    Rows for a partitioned table are rebalanced by its partition column, so that
-    a task writes few partitions and a year with most of the rows is split over
-    many files of the advisory size.
-    """
-    spark = df.sparkSession
-    create_tables(spark, database, names=[name])
-    keys = PARTITIONED_BY.get(name, [])
-    rows = conform(df, TABLES[name])
-    if keys:
-        rows = rows.hint("rebalance", *keys)
-    with _all_partitions_replaced(spark):
-        rows.write.insertInto(_quoted(database, name), overwrite=True)
-    return spark.table(_quoted(database, name))
+    """`overwrite_tables` for one."""
+    return overwrite_tables(df.sparkSession, database, {name: df})[name]
 
 
 def read_tables(spark: SparkSession, database: str) -> dict[str, DataFrame]:
-    """The seven tables by name."""
-    return {name: spark.table(_quoted(database, name)) for name in TABLES}
+    """The seven tables by name, all of one version."""
+    number = current_number(spark, database)
+    inner = version_database(database, number) if number else database
+    return {name: spark.table(quoted(inner, name)) for name in TABLES}
