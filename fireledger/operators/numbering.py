@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Hex digits of the content's digest that name its bucket in a scope.
-DIGITS = 4
+#: Bytes of contents, as Catalyst estimates them, that one bucket may hold.
+BUCKET = 32 << 20
 #: Copies that one row is opened to.
 SLICE = 64
 #: Bits of a number below those of its scope.
@@ -20,6 +20,15 @@ def content_digest(*parts: Column) -> Column:
     return F.md5(F.concat_ws("|", *[F.coalesce(part.cast("string"), F.lit("-")) for part in parts]))
 
 
+def _digits(contents: DataFrame) -> int:
+    """Hex digits of a digest that name its bucket."""
+    size = int(str(contents._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    digits = 1
+    while size > BUCKET * 16**digits and digits < 5:
+        digits += 1
+    return digits
+
+
 def place_by_content(contents: DataFrame, scope: str, content: Sequence[Column], copies: str) -> DataFrame:
     """``contents`` with ``first_number``, one less than the number of the first copy of each row.
 
@@ -27,13 +36,14 @@ def place_by_content(contents: DataFrame, scope: str, content: Sequence[Column],
     ``BITS`` bits. Rows of a scope are in the order of the digests of their ``content``,
     which must tell all rows of ``contents`` apart, and take as many numbers as ``copies`` says.
 
-    Digests fall into buckets by their first digits. A bucket is ranked by itself, after
+    Digests fall into buckets by their first digits, as many as the size of ``contents`` asks
+    for; the order and so the numbers are the same with any number of them. A bucket is ranked by itself, after
     the copies in the buckets before it, so no scope is sorted in one task, and a content
     with most of the rows is one row.
     """
     rows = contents.withColumns(
         {"_scope": F.coalesce(F.col(scope), F.lit(0)).cast("long"), "_digest": content_digest(*content)}
-    ).withColumn("_bucket", F.substring("_digest", 1, DIGITS))
+    ).withColumn("_bucket", F.substring("_digest", 1, _digits(contents)))
     earlier = (
         Window.partitionBy("_scope").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     )

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial, reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -175,6 +178,13 @@ def _in_years(years: set) -> Column:
     return known | F.col("year").isNull() if None in years else known
 
 
+def _together(spark: SparkSession, *tasks: Callable) -> list:
+    """The results of some tasks whose jobs Spark runs side by side; the first error, if any."""
+    with ThreadPoolExecutor(len(tasks)) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(task)) for task in tasks]
+    return [task.result() for task in started]
+
+
 def _built(
     draft: Draft,
     counts: DataFrame,
@@ -202,24 +212,36 @@ def _built(
         records = draft.save("records", counts)
         sums = sum_states(records, *_MONTHLY, value="quantity", copies="copies")
     monthly = totals_of(draft.save("monthly", sums), *_MONTHLY, out="emissions_quantity")
-    draft.save("source_files", files)
     monthly = stage(monthly, folder, "monthly")
     listed = stage(countries, folder, "countries")
 
-    draft.save("continent", continent_dim(listed))
-    draft.save("region", region_dim(listed, region_totals(monthly, listed)))
-    country = draft.save("country", country_dim(listed, country_totals(monthly, listed)))
-    year = draft.save("year", year_dim(monthly))
-    month = draft.save("month", month_dim(monthly, year))
-    gas = draft.save("gas", gas_dim(gases))
-    lookup = stage(time_lookup(month, year), folder, "lookup")
+    def dated() -> DataFrame:
+        year = draft.save("year", year_dim(monthly))
+        month = draft.save("month", month_dim(monthly, year))
+        return stage(time_lookup(month, year), folder, "lookup")
+
+    country, gas, lookup, *_ = _together(
+        spark,
+        lambda: draft.save("country", country_dim(listed, country_totals(monthly, listed))),
+        lambda: draft.save("gas", gas_dim(gases)),
+        dated,
+        lambda: draft.save("region", region_dim(listed, region_totals(monthly, listed))),
+        lambda: draft.save("continent", continent_dim(listed)),
+        lambda: draft.save("source_files", files),
+    )
     if rekeyed:
         touched = None
     rows = records if touched is None else records.where(_in_years(touched))
-    draft.save("gas_emission", numbered_fact(rows, country, gas, lookup), touched, dealt=True)
-    cube = draft.save("cube", cube_states(keyed_records(rows, country, gas, lookup)), touched)
-    for name, states in smaller_states(cube).items():
-        draft.save(name, states)
+
+    def aggregated() -> None:
+        cube = draft.save("cube", cube_states(keyed_records(rows, country, gas, lookup)), touched)
+        _together(spark, *[partial(draft.save, name, states) for name, states in smaller_states(cube).items()])
+
+    _together(
+        spark,
+        lambda: draft.save("gas_emission", numbered_fact(rows, country, gas, lookup), touched, dealt=True),
+        aggregated,
+    )
     draft.publish()
     return {name: draft.table(name) for name in TABLES}
 
