@@ -3,7 +3,7 @@
 A byte goes if a string of ``width`` bytes covers it that also starts in a document of a
 smaller id. Strings are judged on the texts as given, and never cross documents.
 
-1. Parse. Texts are dealt to chunks by id and text. Each chunk parses its texts into phrases
+1. Parse. Texts are dealt to chunks by their place in ``docs``. Each chunk parses its texts into phrases
    (see ``phrases``) and sends its dictionary, each phrase once with its smallest
    document, to buckets by trigger. Equal strings have equal triggers, so they meet.
 2. Parse order. A bucket sorts phrases and finds the smallest document of each. Where a
@@ -37,16 +37,20 @@ from hashlib import sha256
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fireledger.llm.phrases import Phrases, parsed
+from fireledger.llm.scratch import unused
 from fireledger.llm.words import PIECE, POWERS, mixed, pieces, window_hashes
 
 WIDTH = 50
 CHUNK = 4 << 20
 LAST = np.iinfo(np.int64).max
+#: Column of the document's number: its id, LAST without one.
+NUMBER = "pfp_number"
 SHARE = 32
 CROWD = 1024
 SORTED, HASHED = 1, 2
@@ -56,10 +60,11 @@ class _Chunk:
     """The texts of a chunk in the order of their ids, and their phrases."""
 
     def __init__(self, rows: pd.DataFrame, width: int) -> None:
-        ids = rows["doc_id"].astype("Int64").fillna(LAST).to_numpy(np.int64)
-        order = np.argsort(ids, kind="stable")
-        self.rows, self.ids, self.width = rows.iloc[order], ids[order], width
-        self.texts = [t.encode("utf-8", "surrogatepass") if isinstance(t, str) else b"" for t in self.rows["text"]]
+        rows = rows[[NUMBER, "text"]]
+        ids = rows[NUMBER].to_numpy(np.int64)
+        self.order = np.argsort(ids, kind="stable")
+        self.ids, self.width = ids[self.order], width
+        self.texts = [t.encode("utf-8", "surrogatepass") if isinstance(t, str) else b"" for t in rows["text"].iloc[self.order]]
         self.starts = np.cumsum([0] + [len(t) for t in self.texts])
 
     def parses(self) -> Iterator[tuple[Phrases, np.ndarray, np.ndarray]]:
@@ -373,55 +378,83 @@ def _marked(chunk: _Chunk, found: pd.DataFrame) -> np.ndarray:
     return np.cumsum(change[:-1], dtype=np.int16) > 0
 
 
-def _apply(width: int, columns: list[str]):
-    def apply(key: tuple, rows: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        chunk = _Chunk(rows, width)
-        gone = _marked(chunk, found)
+def _apply(width: int, columns: list[str], names: dict[str, str]):
+    """In Arrow, as pandas turns whole numbers beside nulls into doubles, which cannot hold all of them."""
+
+    def apply(rows: pa.Table, found: pa.Table) -> pa.Table:
+        given = rows.select([names[NUMBER], "text"]).to_pandas()
+        chunk = _Chunk(given.rename(columns={names[NUMBER]: NUMBER}), width)
+        gone = _marked(chunk, found.to_pandas())
         data = np.frombuffer(b"".join(chunk.texts), np.uint8)
-        out = chunk.rows[columns].reset_index(drop=True)
-        figures = []
+        removed, spans, kept, digests = [], [], [], []
         for a, b in zip(chunk.starts[:-1], chunk.starts[1:]):
             mask = gone[a:b]
-            kept = data[a:b][~mask].tobytes()
-            spans = int(mask[:1].sum()) + int(np.count_nonzero(mask[1:] & ~mask[:-1]))
-            figures.append((b - a, int(mask.sum()), spans, kept))
-        more = pd.DataFrame(figures, columns=["pfp_bytes", "pfp_removed", "pfp_spans", "pfp_kept"])
-        more["pfp_sha256"] = [sha256(x).hexdigest() for x in more["pfp_kept"]]
-        return pd.concat([out, more], axis=1)
+            kept.append(data[a:b][~mask].tobytes())
+            removed.append(int(mask.sum()))
+            spans.append(int(mask[:1].sum()) + int(np.count_nonzero(mask[1:] & ~mask[:-1])))
+            digests.append(sha256(kept[-1]).hexdigest())
+        out = rows.select(columns).take(pa.array(chunk.order))
+        more = (
+            ("pfp_bytes", pa.array(np.diff(chunk.starts), pa.int64())),
+            ("pfp_removed", pa.array(removed, pa.int64())),
+            ("pfp_spans", pa.array(spans, pa.int64())),
+            ("pfp_kept", pa.array(kept, pa.binary())),
+            ("pfp_sha256", pa.array(digests, pa.string())),
+        )
+        for name, values in more:
+            out = out.append_column(names[name], values)
+        return out
 
     return apply
 
 
+MADE = ("pfp_bytes", "pfp_removed", "pfp_spans", "pfp_kept", "pfp_sha256")
+
+
+def made_names(docs: DataFrame) -> dict[str, str]:
+    """The names of the columns that `without_repeats` makes: those of ``MADE``, or where
+    ``docs`` has one of that name, that name with underscores behind it."""
+    return {name: unused(name, docs.columns) for name in (*MADE, NUMBER, "pfp_chunk")}
+
+
 def without_repeats(
     docs: DataFrame, width: int = WIDTH, chunk_bytes: int = CHUNK, share: int = SHARE, crowd: int = CROWD
 ) -> DataFrame:
-    """``docs`` with pfp_bytes, pfp_removed, pfp_spans, pfp_kept (remaining bytes) and pfp_sha256."""
+    """``docs`` with pfp_bytes, pfp_removed, pfp_spans, pfp_kept (remaining bytes) and pfp_sha256 (see `made_names`)."""
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
-    buckets = int(size // chunk_bytes + 1)
-    chunked = docs.withColumn("pfp_chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)))
-    texts = chunked.groupBy("pfp_chunk")
+    buckets, names = int(size // chunk_bytes + 1), made_names(docs)
+    number, chunk = names[NUMBER], names["pfp_chunk"]
+    # Rows are dealt by their place, so rows alike do not all meet in one chunk.
+    chunked = docs.withColumns(
+        {
+            number: F.coalesce(F.col("doc_id").cast("long"), F.lit(int(LAST))),
+            chunk: F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(buckets)),
+        }
+    )
+    texts = chunked.groupBy(chunk)
+
+    def renamed(task):
+        if number == NUMBER:
+            return task
+        return lambda key, rows, *more: task(key, rows[[number, "text"]].rename(columns={number: NUMBER}), *more)
+
     settled = (
-        texts.applyInPandas(_send(width, buckets, share), ENTRIES).groupBy("bucket").applyInPandas(_settle(crowd), FOUND)
+        texts.applyInPandas(renamed(_send(width, buckets, share)), ENTRIES)
+        .groupBy("bucket")
+        .applyInPandas(_settle(crowd), FOUND)
     )
+    opening = renamed(_send_bytes(width, buckets))
     opened = (
         texts.cogroup(settled.groupBy("pfp_chunk"))
-        .applyInPandas(_send_bytes(width, buckets), DICTIONARY)
+        .applyInPandas(lambda key, rows, found: opening(key, rows, found), DICTIONARY)
         .groupBy("bucket")
         .applyInPandas(_sort_suffixes(width, buckets), FOUND)
     )
-    schema = T.StructType(
-        [
-            *docs.schema.fields,
-            T.StructField("pfp_bytes", T.LongType()),
-            T.StructField("pfp_removed", T.LongType()),
-            T.StructField("pfp_spans", T.LongType()),
-            T.StructField("pfp_kept", T.BinaryType()),
-            T.StructField("pfp_sha256", T.StringType()),
-        ]
-    )
-    return texts.cogroup(settled.unionByName(opened).groupBy("pfp_chunk")).applyInPandas(
-        _apply(width, docs.columns), schema
-    )
+    kinds = (T.LongType(), T.LongType(), T.LongType(), T.BinaryType(), T.StringType())
+    made = [T.StructField(names[name], kind) for name, kind in zip(MADE, kinds)]
+    schema = T.StructType([*docs.schema.fields, *made])
+    told = settled.unionByName(opened).groupBy("pfp_chunk")
+    return texts.cogroup(told).applyInArrow(_apply(width, docs.columns, names), schema)
 
 
 def text_without_repeats(docs: DataFrame, **options) -> DataFrame:
@@ -431,11 +464,13 @@ def text_without_repeats(docs: DataFrame, **options) -> DataFrame:
     def decoded(kept: pd.Series) -> pd.Series:
         return kept.map(lambda x: bytes(x).decode("utf-8", "ignore"))
 
+    names = made_names(docs)
+    cut = F.col(names["pfp_removed"]) > 0
     left = without_repeats(docs, **options).withColumn(
-        "text", F.when(F.col("pfp_removed") > 0, decoded("pfp_kept")).otherwise(F.col("text"))
+        "text", F.when(cut, decoded(names["pfp_kept"])).otherwise(F.col("text"))
     )
     if "n_chars" in docs.columns:
         kind = dict(docs.dtypes)["n_chars"]
         length = F.length("text").cast(kind)
-        left = left.withColumn("n_chars", F.when(F.col("pfp_removed") > 0, length).otherwise(F.col("n_chars")))
+        left = left.withColumn("n_chars", F.when(cut, length).otherwise(F.col("n_chars")))
     return left.select(*docs.columns)

@@ -26,6 +26,19 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def forget(spark: SparkSession, *frames: DataFrame) -> None:
+    """Delete tables that ``stored`` wrote, whose readers have all ended.
+
+    What was shuffled for jobs that have ended is let go too: Spark's cleaner removes a
+    shuffle's files when the driver's garbage collection finds it unused.
+    """
+    for df in frames:
+        for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    spark._jvm.System.gc()
+
+
 #: Whole texts that a Python worker gets at once.
 BATCH = 1000
 
@@ -36,3 +49,11 @@ def in_small_batches(df: DataFrame) -> DataFrame:
     if not 0 < int(conf.get(key)) <= BATCH:
         conf.set(key, str(BATCH))
     return df
+
+
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, with underscores behind it while a column has that name."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
