@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fireledger.llm.scratch import in_small_batches
+from fireledger.llm.scratch import in_small_batches, unused
 from fireledger.llm.words import PIECE, POWERS, mixed, pieces, window_hashes
 
 RATE = 0.1
@@ -190,11 +190,13 @@ def test_hits(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFram
 def _hits(docs: DataFrame, items: DataFrame, rate: float) -> DataFrame:
     """The hits by the first columns of ``docs``, of which the last is ``text``."""
     *names, _ = docs.columns
-    known = items.filter(F.length(F.trim("text")) > 0).select("item_id", "text")
+    known = items.filter(F.length(F.trim("text")) > 0).select(F.col("item_id").cast("string"), "text")
     size = known.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     blocks = int(size // BLOCK + 1)
-    kinds = ", ".join(f"{n} {kind}" for n, kind in docs.dtypes[:-1])
-    item_kind = dict(items.dtypes)["item_id"]
+    kinds = dict([*docs.dtypes[:-1], ("item_id", dict(items.dtypes)["item_id"])])
+    # As text, since a column of numbers and nulls would turn into doubles, which cannot hold all ids.
+    docs = docs.select(*[F.col(n).cast("string") for n in names], "text")
+    columns = ", ".join(f"{n} string" for n in names)
     found = None
     for number in range(blocks):
         block = known.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == number).collect()
@@ -217,9 +219,9 @@ def _hits(docs: DataFrame, items: DataFrame, rate: float) -> DataFrame:
                 out = [(*ids[i], wanted.ids[k], edits) for (i, k), edits in least.items()]
                 yield pd.DataFrame(out, columns=[*names, "item_id", "edits"])
 
-        part = in_small_batches(docs).mapInPandas(search, f"{kinds}, item_id {item_kind}, edits bigint")
+        part = in_small_batches(docs).mapInPandas(search, f"{columns}, item_id string, edits bigint")
         found = part if found is None else found.unionByName(part)
-    return found
+    return found.select(*[F.col(n).cast(kind) for n, kind in kinds.items()], "edits")
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
@@ -229,6 +231,6 @@ def clean_documents(docs: DataFrame, items: DataFrame, rate: float = RATE) -> Da
     another row bears makes no difference.
     """
     first, second = F.xxhash64("text"), F.xxhash64(F.lit(1), "text")
-    hits = _hits(docs.select(first.alias("test_first"), second.alias("test_second"), "text"), items, rate)
-    hits = hits.select("test_first", "test_second").distinct()
-    return docs.join(hits, (first == F.col("test_first")) & (second == F.col("test_second")), "left_anti")
+    a, b = unused("test_first", docs.columns), unused("test_second", docs.columns)
+    hits = _hits(docs.select(first.alias(a), second.alias(b), "text"), items, rate).select(a, b).distinct()
+    return docs.join(hits, (first == F.col(a)) & (second == F.col(b)), "left_anti")
