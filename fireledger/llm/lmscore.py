@@ -10,14 +10,16 @@ the target gets no reward for being there.
 
 Counts cover all documents and all n-grams, and no task holds the models: texts are
 dealt to chunks; a chunk sends each distinct n-gram once, with its counts, to a bucket
-by hash; a bucket sums up and answers with the totals in the order asked; the
-chunk scores its documents with the answers. In a bucket n-grams are known by 40 bits
+by hash; a bucket sums up and answers with the totals in the order asked; the words
+of all buckets are added up in one row, which every chunk gets; the chunk scores its documents with the answers. In a bucket n-grams are known by 40 bits
 of their hash, so of a million n-grams some two share a count.
 
 Words are runs of letters and digits in lower case. Defined results: null and empty
 texts have no words and null losses and score; without any target document the target
 model is smoothing alone; rows of one id are scored one by one and are in the target
-together; an empty table gives an empty table; other columns are not looked at.
+together; an empty table gives an empty table; other columns are not looked at. Rows are
+dealt by their place in ``docs``, so ``docs`` must come in the same order if read again, as
+files do.
 """
 
 from __future__ import annotations
@@ -27,9 +29,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fireledger.llm.packed import numbers, planes, steps, unstepped
 from fireledger.llm.words import NOT_ALNUM, mixed, pieces, words_of
 
 CHUNK = 8 << 20
+BUCKET = 16 << 20
 BITS = 40
 WEIGHT = 4.0
 
@@ -37,29 +41,13 @@ ASKED = "bucket bigint, lm_chunk bigint, keys binary, here binary, target binary
 TOLD = "lm_chunk bigint, bucket bigint, words bigint, here_words bigint, target_words bigint, here binary, target binary"
 
 
-def _planes(numbers: np.ndarray) -> bytes:
-    """Whole numbers byte by byte, so that the zeros of small ones lie together and compress."""
-    wide = numbers.astype(np.uint64)
-    size = max(1, (int(wide.max()).bit_length() + 7) // 8) if len(wide) else 1
-    return bytes([size]) + wide.view(np.uint8).reshape(-1, 8)[:, :size].T.tobytes()
-
-
-def _numbers(data: bytes) -> np.ndarray:
-    size = data[0]
-    planes = np.frombuffer(data, np.uint8, offset=1).reshape(size, -1)
-    wide = np.zeros((planes.shape[1], 8), np.uint8)
-    wide[:, :size] = planes.T
-    return wide.view(np.uint64).ravel().astype(np.int64)
-
-
 class _Chunk:
     """Words and pairs of a chunk's documents as places in its dictionary of n-grams."""
 
     def __init__(self, rows: pd.DataFrame, buckets: int) -> None:
         labels = rows["lm_label"].to_numpy(bool)
-        self.rows = rows[~labels].sort_values(["doc_id", "text"], kind="stable")
-        chosen = set(rows["doc_id"][labels])
-        self.target = np.array([i in chosen for i in self.rows["doc_id"]], bool)
+        self.rows = rows[~labels].sort_values("lm_row", kind="stable")
+        self.target = np.isin(self.rows["lm_row"].to_numpy(np.int64), rows["lm_row"][labels].to_numpy(np.int64))
         words, owner = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         for first, run in pieces(self.rows["text"]):
             found = words_of(run, NOT_ALNUM)
@@ -101,10 +89,10 @@ def _ask(buckets: int):
         here, target = chunk.counts()
         bounds = np.searchsorted(chunk.keys, np.arange(buckets + 1) << (BITS + 1))
         rest = chunk.keys & ((1 << (BITS + 1)) - 1)
-        # Every bucket is asked, even for nothing, as each tells its share of the totals.
         out = [
-            (b, key[0], _planes(np.diff(rest[i:j], prepend=0)), _planes(here[i:j]), _planes(target[i:j]))
+            (b, key[0], steps(rest[i:j]), planes(here[i:j]), planes(target[i:j]))
             for b, (i, j) in enumerate(zip(bounds[:-1], bounds[1:]))
+            if i < j
         ]
         return pd.DataFrame(out, columns=["bucket", "lm_chunk", "keys", "here", "target"])
 
@@ -112,25 +100,31 @@ def _ask(buckets: int):
 
 
 def _tell(key: tuple, asked: pd.DataFrame) -> pd.DataFrame:
-    each = [np.cumsum(_numbers(x)) for x in asked["keys"]]
+    each = [unstepped(x) for x in asked["keys"]]
     keys = np.concatenate(each)
-    here = np.concatenate([_numbers(x) for x in asked["here"]])
-    target = np.concatenate([_numbers(x) for x in asked["target"]])
     distinct, place = np.unique(keys, return_inverse=True)
-    all_here = np.zeros(len(distinct), np.int64)
-    all_target = np.zeros(len(distinct), np.int64)
-    np.add.at(all_here, place, here)
-    np.add.at(all_target, place, target)
-    word = (distinct & 1).astype(bool)
-    totals = int(word.sum()), int(all_here[word].sum()), int(all_target[word].sum())
+    sums = []
+    for name in ("here", "target"):
+        counts = np.concatenate([numbers(x) for x in asked[name]])
+        total = np.zeros(len(distinct), np.uint64)
+        np.add.at(total, place, counts)
+        sums.append(total)
     bounds = np.cumsum([0] + [len(x) for x in each])
     out = [
-        (chunk, key[0], *totals, _planes(all_here[place[i:j]]), _planes(all_target[place[i:j]]))
+        (chunk, key[0], 0, 0, 0, planes(sums[0][place[i:j]]), planes(sums[1][place[i:j]]))
         for chunk, i, j in zip(asked["lm_chunk"], bounds[:-1], bounds[1:])
     ]
     return pd.DataFrame(out, columns=["lm_chunk", "bucket", "words", "here_words", "target_words", "here", "target"])
 
 
+def _total(asked: pd.DataFrame) -> pd.DataFrame:
+    """A bucket's share of the distinct words, and of the words of both models."""
+    keys = np.concatenate([unstepped(x) for x in asked["keys"]])
+    word = (keys & np.uint64(1)).astype(bool)
+    here, target = (int(np.concatenate([numbers(x) for x in asked[n]])[word].sum()) for n in ("here", "target"))
+    return pd.DataFrame({"words": [len(np.unique(keys[word]))], "here_words": [here], "target_words": [target]})
+
+
 def _losses(chunk: _Chunk, counts: np.ndarray, own: np.ndarray, taken: np.ndarray, total: int, words: int) -> np.ndarray:
     """Loss of each word. counts: of the chunk's n-grams; own: to take out, by word and pair;
     taken: words to take out of the total, by document."""
@@ -145,18 +139,20 @@ def _losses(chunk: _Chunk, counts: np.ndarray, own: np.ndarray, taken: np.ndarra
 
 def _score(buckets: int):
     def score(key: tuple, rows: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+        if not len(rows):
+            return pd.DataFrame([], columns=["doc_id", "n_words", "in_target", "target_loss", "background_loss", "score"])
         chunk = _Chunk(rows, buckets)
-        told = told.sort_values("bucket")
+        whole, told = told[told["bucket"] < 0].iloc[0], told[told["bucket"] >= 0].sort_values("bucket")
         own, n = chunk.own(), np.bincount(chunk.doc, minlength=len(chunk.rows))
         mine = chunk.target[chunk.owners]
-        words = int(told["words"].sum())
+        words = int(whole["words"])
         sides = []
         for name, share, removed in (
             ("here", np.ones(len(own), bool), n),
             ("target", mine, np.where(chunk.target, n, 0)),
         ):
-            counts = np.concatenate([_numbers(x) for x in told[name]]) if len(told) else np.zeros(0, np.int64)
-            total = int(told[f"{name}_words"].sum())
+            counts = np.concatenate([np.zeros(0, np.int64), *[numbers(x).astype(np.int64) for x in told[name]]])
+            total = int(whole[f"{name}_words"])
             loss = _losses(chunk, counts, np.where(share, own, 0), removed, total, words)
             sums = np.bincount(chunk.doc, weights=loss, minlength=len(n))
             sides.append(np.divide(sums, n, out=np.full(len(n), np.nan), where=n > 0))
@@ -181,15 +177,32 @@ def loss_difference(docs: DataFrame, target: DataFrame, chunk_bytes: int = CHUNK
     ``target`` has the ``doc_id`` of the documents that the target model learns from.
     """
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
-    buckets = int(size // chunk_bytes + 1)
+    chunks, buckets = int(size // chunk_bytes + 1), int(size // BUCKET + 1)
     kind = dict(docs.dtypes)["doc_id"]
     chosen = target.select(F.col("doc_id").cast(kind)).filter(F.col("doc_id").isNotNull()).distinct()
-    both = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.lit(False).alias("lm_label")).unionByName(
-        chosen.select("doc_id", F.lit(None).cast("string").alias("text"), F.lit(True).alias("lm_label"))
+    # Rows are known and dealt by their place, so rows alike or without id do not all meet in one chunk.
+    row = F.monotonically_increasing_id().alias("lm_row")
+    labelled = docs.select(row, "doc_id").join(chosen, "doc_id")
+    none = F.lit(None).cast("string")
+    both = docs.select(
+        # As text, since a column of numbers and nulls would turn into doubles, which cannot hold all ids.
+        row,
+        F.col("doc_id").cast("string").alias("doc_id"),
+        F.col("text").cast("string").alias("text"),
+        F.lit(False).alias("lm_label"),
+    ).unionByName(labelled.select("lm_row", none.alias("doc_id"), none.alias("text"), F.lit(True).alias("lm_label")))
+    texts = both.withColumn("lm_chunk", F.pmod(F.xxhash64("lm_row"), F.lit(chunks))).groupBy("lm_chunk")
+    asked = texts.applyInPandas(_ask(buckets), ASKED).groupBy("bucket")
+    sums = ("words", "here_words", "target_words")
+    whole = asked.applyInPandas(_total, ", ".join(f"{n} bigint" for n in sums)).agg(
+        *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in sums]
     )
-    texts = both.withColumn("lm_chunk", F.pmod(F.xxhash64("doc_id"), F.lit(buckets))).groupBy("lm_chunk")
-    told = texts.applyInPandas(_ask(buckets), ASKED).groupBy("bucket").applyInPandas(_tell, TOLD)
-    schema = f"doc_id {kind}, n_words bigint, in_target boolean, target_loss double, background_loss double, score double"
+    # One row, which every chunk gets.
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))).alias("lm_chunk")
+    nothing = F.lit(b"").cast("binary")
+    whole = whole.select(every, F.lit(-1).cast("long").alias("bucket"), *sums, nothing.alias("here"), nothing.alias("target"))
+    told = asked.applyInPandas(_tell, TOLD).unionByName(whole)
+    schema = "doc_id string, n_words bigint, in_target boolean, target_loss double, background_loss double, score double"
     scored = texts.cogroup(told.groupBy("lm_chunk")).applyInPandas(_score(buckets), schema)
     value = lambda name: F.when(~F.isnan(name), F.col(name)).alias(name)
-    return scored.select("doc_id", "n_words", "in_target", *map(value, ["target_loss", "background_loss", "score"]))
+    return scored.select(F.col("doc_id").cast(kind), "n_words", "in_target", *map(value, ["target_loss", "background_loss", "score"]))
