@@ -12,7 +12,7 @@ a hash of the id; sums are made in Spark on whole numbers, so reruns agree. Pred
 covers every whole text.
 
 Defined results: ``und`` with score 0 where the text is null or has no letter, or where
-nothing was learned; ties go to the first language by code point; repeated rows and ids
+nothing was learned; rows without id are neither learned from nor, in the query, held out; ties go to the first language by code point; repeated rows and ids
 are predicted one by one; an empty table gives an empty table.
 """
 
@@ -32,6 +32,8 @@ DIMS = 1024
 NGRAM = 3
 SCALE = 1 << 20
 SLICE = 100_000
+#: N-grams whose vectors are made at once.
+KINDS = 2048
 UNKNOWN = "und"
 
 
@@ -67,15 +69,30 @@ def _rows(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         grams = grams * size + ids[place : place + n]
     inside = owner[:n] == owner[NGRAM - 1 :]
     kinds, which = np.unique(grams[inside], return_inverse=True)
-    counts = np.bincount(owner[:n][inside] * len(kinds) + which, minlength=len(texts) * len(kinds))
-    counts = counts.reshape(len(texts), len(kinds)).astype(np.float32)
+    # Which texts have a kind, and how often, in the order of the kinds.
+    pairs, counts = np.unique(which * len(texts) + owner[:n][inside], return_counts=True)
+    kind, text = np.divmod(pairs, len(texts))
     letters = np.stack([_letter(int(c)) for c in alphabet])
-    bound = np.ones((len(kinds), DIMS), np.int8)
-    rest = kinds
-    for place in range(NGRAM - 1, -1, -1):
-        bound *= np.roll(letters, NGRAM - 1 - place, axis=1)[rest % size]
-        rest = rest // size
-    return counts @ bound.astype(np.float32), has
+    rows = np.zeros((len(texts), DIMS), np.float32)
+    for first in range(0, len(kinds), KINDS):
+        rest = kinds[first : first + KINDS]
+        bound = np.ones((len(rest), DIMS), np.int8)
+        for place in range(NGRAM - 1, -1, -1):
+            bound *= np.roll(letters[rest % size], NGRAM - 1 - place, axis=1)
+            rest = rest // size
+        i, j = np.searchsorted(kind, (first, first + KINDS))
+        if (j - i) * 16 > len(texts) * len(bound):
+            dense = np.zeros((len(texts), len(bound)), np.float32)
+            dense[text[i:j], kind[i:j] - first] = counts[i:j]
+            rows += dense @ bound.astype(np.float32)
+            continue
+        order = i + np.argsort(text[i:j], kind="stable")
+        for at in range(0, len(order), KINDS):
+            some = order[at : at + KINDS]
+            starts = np.flatnonzero(np.diff(text[some], prepend=-1))
+            parts = bound[kind[some] - first] * counts[some, None].astype(np.float32)
+            rows[text[some[starts]]] += np.add.reduceat(parts, starts, axis=0)
+    return rows, has
 
 
 def vectors(texts: pd.Series) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
@@ -106,12 +123,15 @@ def _bundles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"lang": list(totals), "sums": [v.tolist() for v in totals.values()]})
 
 
-def learn(docs: DataFrame, usable: Column, max_train: int = 20_000) -> dict[str, np.ndarray]:
-    """A vector of length 1 for each language in the ``usable`` rows of ``doc_id, text, lang``."""
+def _labelled(docs: DataFrame, usable: Column, max_train: int) -> DataFrame:
     labelled = docs.filter(usable & F.col("lang").isNotNull() & F.col("text").isNotNull())
     n = max(labelled.count(), 1)
-    if n > max_train:
-        labelled = labelled.filter(F.pmod(F.xxhash64("doc_id"), F.lit(n)) < max_train)
+    return labelled if n <= max_train else labelled.filter(F.pmod(F.xxhash64("doc_id"), F.lit(n)) < max_train)
+
+
+def learn(docs: DataFrame, usable: Column, max_train: int = 20_000) -> dict[str, np.ndarray]:
+    """A vector of length 1 for each language in the ``usable`` rows of ``doc_id, text, lang``."""
+    labelled = _labelled(docs, usable, max_train)
     sums = (
         in_small_batches(labelled.select("lang", "text"))
         .mapInPandas(_bundles, "lang string, sums array<bigint>")
@@ -158,9 +178,25 @@ def predict(docs: DataFrame, learned: dict[str, np.ndarray]) -> DataFrame:
     return told.withColumn("lang_pred", F.col(f"{found}.lang")).withColumn("lang_score", F.col(f"{found}.score")).drop(found)
 
 
-def known_language(docs: DataFrame, min_score: float = 0.0, **options) -> DataFrame:
-    """The rows of ``docs`` whose language is told with ``min_score`` at least; their columns only."""
+def least_score(docs: DataFrame, learned: dict[str, np.ndarray], max_train: int = 20_000) -> float:
+    """Half the least score of a labelled document, of those learned from, that is told rightly."""
+    told = predict(_labelled(docs, F.lit(True), max_train).select("lang", "text"), learned)
+    right = told.filter(F.col("lang") == F.col("lang_pred")).agg(F.min("lang_score").alias("least")).first()["least"]
+    return (right or 0.0) / 2
+
+
+def known_language(docs: DataFrame, min_score: float | None = None, **options) -> DataFrame:
+    """The rows of ``docs`` whose language is told with ``min_score`` at least; their columns only.
+
+    By default the least score is learned (`least_score`). Where no row has a language,
+    nothing is learned, and all texts with a letter stay.
+    """
+    learned = learn(docs, F.lit(True), **options)
+    if not learned:
+        letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+        return docs.filter(letter)
+    least = least_score(docs, learned, **options) if min_score is None else min_score
     found = _unused("lang_found", docs.columns)
-    told = in_small_batches(docs).withColumn(found, _guess(learn(docs, F.lit(True), **options)))
-    kept = told.filter((F.col(f"{found}.lang") != UNKNOWN) & (F.col(f"{found}.score") >= min_score))
+    told = in_small_batches(docs).withColumn(found, _guess(learned))
+    kept = told.filter((F.col(f"{found}.lang") != UNKNOWN) & (F.col(f"{found}.score") >= least))
     return kept.select(*docs.columns)
