@@ -7,8 +7,8 @@ that no text can form a control string. Line ends in roles are written as ``%0A`
 Prefix sums of the turns' tokens choose the windows. A window holds, in this order, the
 system turn (the first turn, if its role is ``system``), as many whole turns before the
 window as fit in ``history`` tokens, and its own turns, taken while the budget lasts.
-The space of the history is always kept free, so a window exceeds the budget only
-if one turn alone does. What is repeated is not in the loss mask: of the window's own
+The space of the history is kept free, unless one turn alone needs it: then the history is
+shorter, or nothing. So a window exceeds the budget only if one turn and the system turn do. What is repeated is not in the loss mask: of the window's own
 turns, the texts of assistant turns are.
 
 A long conversation is not held in one task: its prefix sums are made in runs of ``RUN``
@@ -129,6 +129,7 @@ def format_windows(turns: DataFrame, budget: int = 1024, history: int = 256) ->
         .agg(
             F.sort_array(F.collect_list(F.struct("place", "before", "tokens"))).alias("turns"),
             F.max("place").alias("last"),
+            F.max(F.col("before") + F.col("tokens")).alias("end"),
             F.coalesce(F.max("system_tokens"), F.lit(0)).alias("system_tokens"),
         )
     )
@@ -140,25 +141,32 @@ def format_windows(turns: DataFrame, budget: int = 1024, history: int = 256) ->
             F.posexplode("windows"),
             "windows",
             "last",
+            "end",
+            "system_tokens",
         )
         .select(
             "conv_id",
             F.col("col.place").alias("from"),
             F.col("col.before").alias("base"),
             F.coalesce(F.get("windows", F.col("pos") + 1)["place"] - 1, F.col("last")).alias("to"),
+            (F.coalesce(F.get("windows", F.col("pos") + 1)["before"], F.col("end")) - F.col("col.before")).alias("used"),
+            "system_tokens",
         )
+        # The tokens of earlier turns that still fit.
+        .withColumn("reach", F.greatest(F.lit(0), F.least(F.lit(history), F.lit(budget) - F.col("system_tokens") - F.col("used"))))
+        .drop("used", "system_tokens")
     )
     # A turn has OVERHEAD tokens at least, so no more turns than this fit in the history.
     back = F.greatest(F.col("from") - F.lit(history // OVERHEAD), F.lit(1).cast("long"))
     members = windows.withColumn("at", F.explode(F.sequence(back, F.col("to")))).alias("m")
     held = (
         members.join(n, F.col("m.conv_id").eqNullSafe(F.col("n.conv_id")) & (F.col("m.at") == F.col("n.place")))
-        .filter((F.col("place") >= F.col("from")) | (F.col("before") >= F.col("base") - F.lit(history)))
+        .filter((F.col("place") >= F.col("from")) | (F.col("before") >= F.col("base") - F.col("reach")))
         .select("m.conv_id", "from", "place", "role", "text", "tokens")
     )
     # Where the history reaches back to the first turn, it holds the system turn already.
     heads = (
-        windows.filter((F.col("from") > 1) & (F.col("base") > history))
+        windows.filter((F.col("from") > 1) & (F.col("base") > F.col("reach")))
         .join(system, F.col("conv_id").eqNullSafe(F.col("system_id")))
         .select("conv_id", "from", F.lit(1).cast("long").alias("place"), F.lit("system").alias("role"), "system_text", "system_tokens")
     )

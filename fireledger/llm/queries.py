@@ -128,11 +128,13 @@ steps AS (
   LATERAL (SELECT n.before // 65536 <> s.stretch OR s.used + n.tokens >
     CASE WHEN s.first_turn = 1 THEN 1024 ELSE 768 - coalesce(sys_tokens, 0) END AS fresh)),
 windows AS (
-  SELECT conv_id, first_turn, base, max(place) AS last FROM steps GROUP BY ALL),
+  SELECT s.conv_id, first_turn, base, max(place) AS last, any_value(sys_chars) AS sys_chars,
+    greatest(0, least(256, 1024 - coalesce(any_value(sys_tokens), 0) - max(used))) AS reach
+  FROM steps s LEFT JOIN sys ON sys.conv_id = s.conv_id GROUP BY s.conv_id, first_turn, base),
 sized AS (
-  SELECT w.conv_id, w.first_turn, sum(t.chars) + coalesce(max(CASE WHEN w.first_turn > 1 AND w.base > 256 THEN sys_chars END), 0) AS chars
-  FROM windows w JOIN summed t ON t.conv_id = w.conv_id AND t.place <= w.last AND (t.place >= w.first_turn OR t.before >= w.base - 256)
-  LEFT JOIN sys ON sys.conv_id = w.conv_id GROUP BY ALL),
+  SELECT w.conv_id, w.first_turn, sum(t.chars) + coalesce(max(CASE WHEN w.first_turn > 1 AND w.base > w.reach THEN w.sys_chars END), 0) AS chars
+  FROM windows w JOIN summed t ON t.conv_id = w.conv_id AND t.place <= w.last AND (t.place >= w.first_turn OR t.before >= w.base - w.reach)
+  GROUP BY w.conv_id, w.first_turn),
 totals AS (SELECT conv_id, sum(chars) AS formatted_chars, count(*) AS n_windows FROM sized GROUP BY conv_id)
 SELECT g.conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
@@ -148,13 +150,18 @@ def _remainder(n: int):
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
 
 
+def _held_out(n: int, remainder: int):
+    """False for rows without id: these are not learned from either, as they have no remainder."""
+    return F.coalesce(_remainder(n) == remainder, F.lit(False))
+
+
 @_register
 def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document, learned from three quarters of them."""
     docs = _documents(spark, folder)
     learned = langid.learn(docs, _remainder(4) != 2)
     return langid.predict(docs.select("doc_id", "text"), learned).select(
-        "doc_id", (_remainder(4) == 2).alias("held_out"), "lang_pred", F.col("lang_score").alias("score")
+        "doc_id", _held_out(4, 2).alias("held_out"), "lang_pred", F.col("lang_score").alias("score")
     )
 
 
@@ -172,7 +179,7 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     model = toxicity.learn(docs, labels)
     return toxicity.score(docs, model).select(
         "doc_id",
-        (_remainder(3) == 1).alias("held_out"),
+        _held_out(3, 1).alias("held_out"),
         "score",
         (F.col("score") >= 0.7).cast("int").alias("predicted"),
     )
@@ -190,7 +197,7 @@ def op10_quality_grades(spark: SparkSession, folder: str) -> DataFrame:
     labels = labels.groupBy("doc_id").agg(F.min(rated).alias("grade")).filter(F.col("grade").isNotNull())
     model = grades.learn(docs, labels, levels=3)
     return grades.grade(docs, model, levels=3).select(
-        "doc_id", (_remainder(3) == 1).alias("held_out"), "expected_grade", "p_tail", "selected"
+        "doc_id", _held_out(3, 1).alias("held_out"), "expected_grade", "p_tail", "selected"
     )
 
 

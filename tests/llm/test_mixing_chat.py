@@ -88,7 +88,8 @@ def test_windows_read_back_to_the_conversation(spark, monkeypatch, budget, histo
         assert learned == [r[3] or "" for r in given if r[2] == "assistant"]
         system = given[0][2] == "system"
         for w in mine.itertuples():
-            assert w.n_tokens <= budget or w.n_turns == 1
+            # Only one turn with the system turn may exceed the budget.
+            assert w.n_tokens <= budget or (w.n_turns == 1 and w.n_repeated <= int(system))
             if system:
                 assert w.text.startswith("<|im_start|>system\n")
             if w.first_turn > 1 and not system:
@@ -96,6 +97,17 @@ def test_windows_read_back_to_the_conversation(spark, monkeypatch, budget, histo
                 assert before <= w.first_turn - 1
 
 
+def test_history_leaves_room_for_a_long_turn(spark):
+    """Turns of 205 and 905 tokens, and a long system turn, beside a budget of 1024."""
+    rows = [(1, 0, "user", "w " * 200), (1, 1, "assistant", "w " * 900), (1, 2, "user", "w " * 100)]
+    rows += [(2, 0, "system", "s " * 700), (2, 1, "user", "u " * 300), (2, 2, "assistant", "a " * 310), (2, 3, "user", "u " * 100)]
+    windows = chat.format_windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert all(w.n_tokens <= 1024 or w.n_turns == 1 and w.n_repeated <= 1 for w in windows)
+    assert sorted((w.conv_id, w.first_turn, w.n_repeated, w.n_tokens) for w in windows) == [
+        (1, 1, 0, 205), (1, 2, 0, 905), (1, 3, 0, 105), (2, 1, 0, 1010), (2, 3, 1, 1020), (2, 4, 1, 810),
+    ]
+
+
 def test_empty_conversations(spark):
     turns = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.read_back(chat.format_windows(turns)).count() == 0
