@@ -19,7 +19,9 @@ quoted twice puts a sound short text up to 100 away, and junk lies at 200 and mo
 
 A source with fewer than ``least_rows`` judged documents in a language is estimated
 together with the other such sources of that language, and if these are too few, together
-with all such documents. With fewer than that in all nothing is rejected.
+with all such documents of all languages. If these are too few as well, they are judged by
+the estimate of the whole corpus, however small it is. So every document that the base rules
+leave has a distance.
 
 All statistics are whole numbers, sums and quantiles are exact, so reruns agree. Sums and
 quantiles are made before the shuffle: no group is gathered.
@@ -219,8 +221,12 @@ def judged(docs: DataFrame, limit: float = LIMIT, least_rows: int = 200) -> Data
     same = F.col("a.lang").eqNullSafe(F.col("g.lang")) & F.col("a.source").eqNullSafe(F.col("g.source"))
     rows = stored(a.join(g, same, "left").select("a.*", F.coalesce("g.group", F.lit("")).alias("group")))
     fit = rows.filter("not base_failed").select("group", *NAMES)
+    pooled = fit.filter("group = ''").count()
+    if 0 < pooled < least_rows:
+        whole = fit.withColumn("group", F.lit(""))
+        fit = fit.filter("group <> ''").unionByName(whole)
     # Starts: every statistic by itself, from medians, and all of them.
-    middle = stored(fit.groupBy("group").agg(*[F.median(n).alias(f"c{i}") for i, n in enumerate(NAMES)], F.count("*").alias("rows")))
+    middle = stored(fit.groupBy("group").agg(*[F.median(n).alias(f"c{i}") for i, n in enumerate(NAMES)]))
     aside = fit.join(middle, "group")
     spread = aside.groupBy("group").agg(
         *[F.median(F.floor(F.abs(F.col(n) - F.col(f"c{i}")))).alias(f"s{i}") for i, n in enumerate(NAMES)]
@@ -235,8 +241,7 @@ def judged(docs: DataFrame, limit: float = LIMIT, least_rows: int = 200) -> Data
     usual = 0.975
     within = _distances(fit, estimate).filter(F.col("d") <= chi_square_quantile(len(NAMES), usual))
     estimate = _estimate(within, _inflation(usual))
-    trusted = middle.filter(F.col("rows") >= least_rows).select("group")
-    final = _distances(rows, estimate.join(trusted, "group"))
+    final = _distances(rows, estimate)
     kept = ~F.col("base_failed") & ~(F.coalesce(F.col("d"), F.lit(0.0)) > limit)
     return final.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), F.col("d").alias("distance")

@@ -34,7 +34,7 @@ def test_language_of_odd_texts(spark):
     assert [r.lang_pred for r in got[:6]] == ["en", "en", "de", "und", "und", "und"]
     assert got[6].lang_pred in ("en", "de") and {r.lang_found for r in got} == {"clash"}
     assert {r.lang_pred for r in langid.predict(docs, {}).collect()} == {"und"}
-    kept = langid.known_language(docs)
+    kept = langid.known_language(docs, min_score=0.0)
     assert {r.doc_id for r in kept.collect()} == {1, 2, 6} and kept.columns == docs.columns
     assert langid.known_language(docs.limit(0)).count() == 0
 
@@ -221,9 +221,25 @@ def test_outliers_of_rare_groups(spark):
     docs = spark.createDataFrame(rows + rows[:3], "doc_id long, text string, lang string, source string")
     got = outliers.judged(docs).collect()
     assert len(got) == 43 and all(r.kept == (not r.base_failed) for r in got)
+    assert all(r.distance is not None for r in got if not r.base_failed)
     assert outliers.judged(docs.limit(0)).count() == 0
 
 
+def test_junk_of_rare_groups_goes(spark):
+    """Judged by the whole corpus, as language and source have too few rows for an estimate."""
+    rng = random.Random(4)
+    names = ["".join(rng.choice("abcdefg") for _ in range(rng.randint(2, 8))) for _ in range(500)]
+    rows = [(i, " ".join(rng.choice(names) for _ in range(rng.choice([30, 80, 200]))), "en", "web") for i in range(400)]
+    rows += [(1000 + i, " ".join(rng.choice(names) for _ in range(60)), "xx", f"s{i}") for i in range(8)]
+    rows += [(2000 + i, " ".join(rng.choice(names) + "###|" for _ in range(60)), "xx", f"s{i}") for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in outliers.judged(docs).collect()}
+    assert all(r.distance is not None for r in got.values())
+    assert {i for i, r in got.items() if r.kept} == {i for i, *_ in rows if i < 2000}
+    few = {r.doc_id: r for r in outliers.judged(docs.filter("lang = 'xx' OR doc_id < 30")).collect()}
+    assert {i for i, r in few.items() if not r.kept} == set(range(2000, 2008))
+
+
 def test_chi_square():
     assert outliers.chi_square_quantile(5, 0.975) == pytest.approx(12.8325, abs=1e-3)
     assert outliers.chi_square_share(7, 6.3458) == pytest.approx(0.5, abs=1e-4)
