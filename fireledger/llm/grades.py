@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fireledger.llm.features import byte_trigrams_and_words, sampled_texts
-from fireledger.llm.scratch import in_small_batches
+from fireledger.llm.scratch import in_small_batches, unused
 
 BITS = 18
 SHARD = 10_000
@@ -91,7 +91,9 @@ def learn(
 
 
 def grade(docs: DataFrame, model: np.ndarray | None, levels: int, selected_from: int = 1, least: float = 0.5) -> DataFrame:
-    """``docs`` with ``expected_grade``, ``p_tail`` (a grade of ``selected_from`` or more) and ``selected``."""
+    """``docs`` with ``expected_grade``, ``p_tail`` (a grade of ``selected_from`` or more) and ``selected``,
+    in place of columns of these names."""
+    found = unused("grade_found", docs.columns)
     broadcast = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("struct<expected:double,tail:double>")
@@ -106,9 +108,9 @@ def grade(docs: DataFrame, model: np.ndarray | None, levels: int, selected_from:
         return pd.DataFrame({"expected": above.sum(axis=1), "tail": above[:, selected_from - 1]})
 
     return (
-        in_small_batches(docs).withColumn("_grades", probabilities(F.col("text")))
-        .withColumn("expected_grade", F.col("_grades.expected"))
-        .withColumn("p_tail", F.col("_grades.tail"))
+        in_small_batches(docs).withColumn(found, probabilities(F.col("text")))
+        .withColumn("expected_grade", F.col(f"{found}.expected"))
+        .withColumn("p_tail", F.col(f"{found}.tail"))
         .withColumn("selected", F.col("p_tail") >= least)
-        .drop("_grades")
+        .drop(found)
     )

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fireledger.llm.scratch import stored
+from fireledger.llm.scratch import stored, unused
 
 WORD = r"[^\x20\x09-\x0D]+"
 PIECE = 4096
@@ -122,18 +122,23 @@ def sized_documents(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes it, numbered in ``mix_copy`` from 1."""
+    """The rows of ``docs``, each as often as the mix takes it, numbered in ``mix_copy`` from 1.
+
+    Where ``docs`` has a column of that name, the number has underscores behind its own.
+    """
     keys = ["doc_id", "source", "size"]
+    words, copies, number = (unused(n, docs.columns) for n in ("mix_words", "mix_copies", "mix_copy"))
+    told = {k: unused(f"mix_{k}", docs.columns) for k in keys}
     plan = mix(sized_documents(docs), **options).groupBy(*keys).agg(F.sort_array(F.collect_list("copies")).alias("copies"))
-    d = docs.withColumn("size", word_count(F.col("text"))).alias("d")
-    p = plan.select(*[F.col(k).alias(f"mix_{k}") for k in keys], F.col("copies").alias("mix_copies")).alias("p")
-    same = [F.col(f"d.{k}").eqNullSafe(F.col(f"p.mix_{k}")) for k in keys]
+    d = docs.withColumn(words, word_count(F.col("text"))).alias("d")
+    p = plan.select(*[F.col(k).alias(told[k]) for k in keys], F.col("copies").alias(copies)).alias("p")
+    same = [F.col(f"d.{words if k == 'size' else k}").eqNullSafe(F.col(f"p.{told[k]}")) for k in keys]
     # Rows that agree in id, source and size share the copies of all of them in turn.
-    nth = F.row_number().over(Window.partitionBy("mix_doc_id", "mix_source", "mix_size").orderBy("mix_size"))
+    nth = F.row_number().over(Window.partitionBy(*told.values()).orderBy(told["size"]))
     return (
         d.join(p, same)
-        .withColumn("mix_copies", F.element_at("mix_copies", nth))
-        .filter("mix_copies > 0")
-        .withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int"))))
-        .select(*docs.columns, "mix_copy")
+        .withColumn(copies, F.element_at(copies, nth))
+        .filter(F.col(copies) > 0)
+        .withColumn(number, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int"))))
+        .select(*docs.columns, number)
     )

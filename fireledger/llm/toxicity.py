@@ -86,7 +86,7 @@ def learn(
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """``docs`` with the probability ``score`` of its ``text`` beside its columns."""
+    """``docs`` with the probability ``score`` of its ``text``, in place of a column of that name."""
     places, values = model
     broadcast = docs.sparkSession.sparkContext.broadcast((places, values))
 
