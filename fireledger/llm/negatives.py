@@ -18,8 +18,8 @@ first rows of other labels in it are returned as its negatives.
    exact however well the codebooks fit; these decide only how many cells are opened.
    One search finds the positives, a second one the negatives in their windows.
 
-Rows are packed in blocks of the first code word, of ``BLOCK`` rows at most, so that many rows
-alike are several blocks; a block that many anchors ask is opened for ``ASKED`` of them at
+Rows are packed in blocks of the first code word, of ``BLOCK`` rows at most and a 64th of all
+or less where that is over a thousand, so that many rows alike are several blocks; a block that many anchors ask is opened for ``ASKED`` of them at
 a time. Sums are made in doubles where these hold them exactly, else in whole numbers of Python.
 
 Defined results: rows with a null id, label or vector or a component that is null or not
@@ -49,6 +49,7 @@ WORDS = (2, 256)
 FIRST = 8
 GROWTH = 8
 BLOCK = 1 << 16
+SMALL = 1024
 ASKED = 1 << 15
 AT_ONCE = 64
 EXACT = float(1 << 53)
@@ -186,7 +187,8 @@ def blocks_of(index: DataFrame, width: int) -> DataFrame:
         names = rows[["row", "vec_id", "label", "j"]].to_numpy(np.int64).tobytes()
         return pd.DataFrame([(*key, names, kind, vectors)], columns=["i", "shard", "names", "kind", "vectors"])
 
-    sizes = index.groupBy("i").agg(F.ceil(F.count("*") / BLOCK).alias("shards"))
+    most = min(max(index.count() // 64, SMALL), BLOCK)
+    sizes = index.groupBy("i").agg(F.ceil(F.count("*") / most).alias("shards"))
     dealt = index.join(F.broadcast(sizes), "i").withColumn("shard", F.pmod(F.xxhash64("row"), F.col("shards")))
     return stored(
         dealt.groupBy("i", "shard").applyInPandas(packed, "i bigint, shard bigint, names binary, kind string, vectors binary")

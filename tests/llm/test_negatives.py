@@ -35,7 +35,7 @@ def found(spark, rows, every, **options):
 
 @pytest.mark.parametrize("block, asked, first, clusters", [(1 << 16, 1 << 15, 8, 0), (20, 3, 2, 6), (50, 1000, 1, 1)])
 def test_against_brute_force(spark, monkeypatch, block, asked, first, clusters):
-    for name, value in {"BLOCK": block, "ASKED": asked, "FIRST": first, "CELL": 8, "AT_ONCE": 3}.items():
+    for name, value in {"BLOCK": block, "SMALL": block, "ASKED": asked, "FIRST": first, "CELL": 8, "AT_ONCE": 3}.items():
         monkeypatch.setattr(negatives, name, value)
     rng = np.random.default_rng(block)
     centres = rng.normal(size=(max(clusters, 1), 7)) * 2

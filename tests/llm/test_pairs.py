@@ -180,7 +180,7 @@ def test_repeats_of_a_common_line(spark, share, crowd):
 
 def test_no_bucket_gets_a_common_line():
     rows, buckets = common_line(3000), 6
-    chunks = [pd.DataFrame(rows[c::buckets], columns=["doc_id", "text"]) for c in range(buckets)]
+    chunks = [pd.DataFrame(rows[c::buckets], columns=[repeats.NUMBER, "text"]) for c in range(buckets)]
     entries = pd.concat([repeats._send(50, buckets)((c,), x) for c, x in enumerate(chunks)])
     settled = pd.concat([repeats._settle()((b,), x) for b, x in entries.groupby("bucket")])
     sent = pd.concat([repeats._send_bytes(50, buckets)((c,), x, settled[settled.pfp_chunk == c]) for c, x in enumerate(chunks)])
