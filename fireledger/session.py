@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
 
@@ -35,9 +36,16 @@ def local_session(cpus: int | str = "*", memory: str = "8g", **extra: str) -> Sp
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``, or a folder in the warehouse where that is unset."""
+    """``spark.checkpoint.dir``, or a folder in the warehouse where that is unset.
+
+    On a cluster a warehouse that is a folder of one machine is refused.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    return (base or spark.conf.get("spark.sql.warehouse.dir") + "/_work").rstrip("/")
+    if not base:
+        base = spark.conf.get("spark.sql.warehouse.dir") + "/_work"
+        if base.startswith(("file:", "/")) and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    return base.rstrip("/")
 
 
 def work_folder(spark: SparkSession) -> str:
