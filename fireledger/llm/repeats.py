@@ -18,6 +18,7 @@ smaller id. Strings are judged on the texts as given, and never cross documents.
    a trigger sends one of them only, and says so. Such a trigger, or one with more than
    ``CROWD`` phrases in all, is not sorted: the chunks send a hash of each of its strings,
    once with its smallest document, to buckets by that hash, so no bucket gets them all.
+   Phrases, some hundred bytes long, and these strings count as equal by 64 bits of hash.
 5. Each chunk parses again and marks its strings with what the buckets found.
 
 So the suffix arrays of dictionary and parse are made bucket by bucket; only ``width``

@@ -157,7 +157,8 @@ def brute_verdicts(rows, limit):
     fit = np.array([x[i] for i, f in figures.items() if not f[5]])
     centre = np.median(fit, axis=0)
     spread = np.maximum(np.median(np.floor(np.abs(fit - centre)), axis=0) * 1.4826, outliers.FLOOR)
-    d = (((fit - centre) / spread) ** 2).sum(axis=1)
+    apart = ((fit - centre) / spread) ** 2
+    starts = [apart.sum(axis=1), *apart.T]
 
     def closest(d):
         grade = np.floor(np.log1p(d) * outliers.UNIT)
@@ -166,14 +167,18 @@ def brute_verdicts(rows, limit):
     def estimate(chosen, share):
         inflation = share / outliers.chi_square_share(n + 2, outliers.chi_square_quantile(n, share))
         covariance = np.cov(chosen.T, bias=True) * inflation + np.eye(n) * outliers.FLOOR**2
-        return chosen.mean(axis=0), np.linalg.inv(covariance)
+        return chosen.mean(axis=0), np.linalg.inv(covariance), np.linalg.slogdet(covariance)[1]
 
-    def distances(rows, centre, inverse):
+    def distances(rows, centre, inverse, _):
         return np.einsum("ij,jk,ik->i", rows - centre, inverse, rows - centre)
 
-    for _ in range(outliers.STEPS + 1):
-        found = estimate(closest(d), outliers.PART)
-        d = distances(fit, *found)
+    ends = []
+    for d in starts:
+        for _ in range(outliers.STEPS + 1):
+            found = estimate(closest(d), outliers.PART)
+            d = distances(fit, *found)
+        ends.append((round(found[2], 6), len(ends), d))
+    d = min(ends)[2]
     found = estimate(fit[d <= outliers.chi_square_quantile(n, 0.975)], 0.975)
     return {i: (*f, distances(x[i][None], *found)[0]) for i, f in figures.items()}
 
