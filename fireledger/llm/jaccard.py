@@ -16,7 +16,8 @@ equal sets count as one. The join links sets of similarity ``percent`` and more:
    members. Where a block holds several components, sets ask the groups there: those of
    small components all, those of large ones the larger ones only. The number of a set's
    shingles in the union bounds its overlap with any member: only where that allows a
-   link is the group opened and the overlap with each member counted.
+   link is the group opened and the overlap with each member counted. Groups hold half of each
+   hash, so a count is never too small; pairs that are found are counted again by whole hashes.
 
 Large groups of near copies therefore cost a question for each member and group, not for
 each pair, and links within a component are not looked for again. Every link between
@@ -43,7 +44,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fireledger.llm.components import components
-from fireledger.llm.scratch import in_small_batches, stored
+from fireledger.llm.scratch import forget, in_small_batches, stored, unused
 from fireledger.llm.words import Words, joined, mixed, pieces, words_of
 
 MISS = 1e-12
@@ -189,7 +190,11 @@ def _linked(a: str, b: str, percent: int) -> Column:
 
 
 def _with_shingles(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """The rows of ``wanted`` (row_id, set, cluster, company) with the shingles of their documents."""
+    """The rows of ``wanted`` (row_id, set, cluster, company) with the shingles of their documents.
+
+    Equal rows come to one task, which takes the first of them, unless Spark splits it: then
+    a set comes once for each part, which changes no link.
+    """
 
     def shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: set[int] = set()
@@ -208,7 +213,6 @@ def _with_shingles(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
         .join(wanted, "row_id")
         .select("set", "cluster", "company", "text")
         .mapInPandas(shingles, "`set` bigint, cluster bigint, company bigint, shingles array<bigint>")
-        .dropDuplicates(["set"])
     )
 
 
@@ -235,8 +239,9 @@ def _rooted(docs: DataFrame, width: int, percent: int) -> DataFrame:
         .filter("first <> last")
         .select("key", "set")
         .distinct()
+        # Dealt by key already.
+        .withColumn("size", F.count("*").over(by_key))
     )
-    blocks = stored(blocks.join(blocks.groupBy("key").agg(F.count("*").alias("size")), "key"))
     clusters = blocks.groupBy("set").agg(
         F.max(F.struct("size", "key"))["key"].alias("cluster"), F.sum("size").alias("company")
     )
@@ -250,13 +255,14 @@ def _rooted(docs: DataFrame, width: int, percent: int) -> DataFrame:
         .select(F.col("set").alias("a"), F.col("leader").alias("b"))
     )
     more = _links_between(blocks, held, stored(components(near)), percent)
+    forget(docs.sparkSession, blocks, held)
     roots = components(near.unionByName(more))
     return members.join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
 
 
 def _groups(held: DataFrame, first: DataFrame) -> DataFrame:
     """``set, root, n, large, group``: each set's component so far, its size, and the set's group."""
-    sets = held.select("set", "cluster").join(first.withColumnRenamed("node", "set"), "set", "left")
+    sets = held.select("set", "cluster").distinct().join(first.withColumnRenamed("node", "set"), "set", "left")
     sets = sets.withColumn("root", F.coalesce("root", "set"))
     sets = sets.join(sets.groupBy("root").agg(F.count("*").alias("n")), "root")
     sets = sets.withColumn("large", F.col("n") > GROUP)
@@ -284,25 +290,29 @@ def _links_between(blocks: DataFrame, held: DataFrame, first: DataFrame, percent
     asked = stored(
         t.join(a, (F.col("t.key") == F.col("a.key")) & asks).select("set", "root", F.col("other").alias("group")).distinct()
     )
+    # Half of each hash is moved: equal shingles stay equal, so an overlap may only grow.
+    codes = held.select("set", F.transform("shingles", lambda x: F.shiftright(x, 32).cast("int")).alias("shingles"))
     # A group that very many sets ask is opened in several tasks.
     shares = asked.groupBy("group").agg(F.ceil(F.count("*") / ASKED).cast("int").alias("shares"))
     questions = (
         asked.join(shares, "group")
         .withColumn("share", F.pmod(F.hash("set"), F.col("shares")))
-        .join(held.select("set", "shingles"), "set")
+        .join(codes, "set")
         .select("group", "share", "set", "root", "shingles")
     )
     inside = (
         groups.join(shares, "group")
-        .join(held.select("set", "shingles"), "set")
+        .join(codes, "set")
         .withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)))
         .select(*[F.col(c).alias(f"member_{c}") for c in ("group", "share", "set", "root", "shingles")])
     )
-    return (
-        questions.groupBy("group", "share")
-        .cogroup(inside.groupBy("member_group", "member_share"))
-        .applyInPandas(_opened(percent), "a bigint, b bigint")
-    )
+    opened = questions.groupBy("group", "share").cogroup(inside.groupBy("member_group", "member_share"))
+    likely = stored(opened.applyInPandas(_opened(percent), "a bigint, b bigint").distinct())
+    # What is found is counted again by whole hashes.
+    one, two = (held.select(F.col("set").alias(n), F.col("shingles").alias(f"of_{n}")) for n in "ab")
+    links = stored(likely.join(one, "a").join(two, "b").filter(_linked("of_a", "of_b", percent)).select("a", "b"))
+    forget(blocks.sparkSession, groups, there, asked, likely)
+    return links
 
 
 def _opened(percent: int):
@@ -339,12 +349,13 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     Documents without a word stay. Rows go by id and text together, so rows without id lose
     their near copies, and a row stays if one of the same id but another text goes.
     """
+    row, lost, nth = (unused(f"jaccard_{n}", docs.columns) for n in ("row", "gone", "nth"))
     known = _rooted(docs, width, percent).filter(F.col("root").isNotNull())
     first = known.groupBy("root").agg(_first_row().alias("first"))
-    gone = known.join(first, "root").filter(F.col("row_id") != F.col("first")).select(F.col("row_id").alias("jaccard_gone")).distinct()
-    rows = docs.withColumn("jaccard_row", _row_id())
-    left = rows.join(gone, F.col("jaccard_row") == F.col("jaccard_gone"), "left_anti")
+    gone = known.join(first, "root").filter(F.col("row_id") != F.col("first")).select(F.col("row_id").alias(lost)).distinct()
+    rows = docs.withColumn(row, _row_id())
+    left = rows.join(gone, F.col(row) == F.col(lost), "left_anti")
     # No shuffle of its own: equal rows are together after the join.
-    nth = F.row_number().over(Window.partitionBy("jaccard_row").orderBy(F.lit(0)))
+    number = F.row_number().over(Window.partitionBy(row).orderBy(F.lit(0)))
     wordless = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    return left.withColumn("jaccard_nth", nth).filter((F.col("jaccard_nth") == 1) | wordless).select(*docs.columns)
+    return left.withColumn(nth, number).filter((F.col(nth) == 1) | wordless).select(*docs.columns)
