@@ -7,9 +7,8 @@ training documents, each at length 1. Documents are compared with the languages
 cosine. Runs of other characters than letters count as one word boundary, a letter of
 its own.
 
-Training may take a sample of at most about ``max_train`` labelled documents, chosen by
-a hash of the id; sums are made in Spark on whole numbers, so reruns agree. Prediction
-covers every whole text.
+Training takes every labelled document, and so does the least score (`least_score`); sums
+are made in Spark on whole numbers, so reruns agree. Prediction covers every whole text.
 
 Defined results: ``und`` with score 0 where the text is null or has no letter, or where
 nothing was learned; rows without id are neither learned from nor, in the query, held out; ties go to the first language by code point; repeated rows and ids
@@ -123,15 +122,13 @@ def _bundles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"lang": list(totals), "sums": [v.tolist() for v in totals.values()]})
 
 
-def _labelled(docs: DataFrame, usable: Column, max_train: int) -> DataFrame:
-    labelled = docs.filter(usable & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    n = max(labelled.count(), 1)
-    return labelled if n <= max_train else labelled.filter(F.pmod(F.xxhash64("doc_id"), F.lit(n)) < max_train)
+def _labelled(docs: DataFrame, usable: Column) -> DataFrame:
+    return docs.filter(usable & F.col("lang").isNotNull() & F.col("text").isNotNull())
 
 
-def learn(docs: DataFrame, usable: Column, max_train: int = 20_000) -> dict[str, np.ndarray]:
+def learn(docs: DataFrame, usable: Column) -> dict[str, np.ndarray]:
     """A vector of length 1 for each language in the ``usable`` rows of ``doc_id, text, lang``."""
-    labelled = _labelled(docs, usable, max_train)
+    labelled = _labelled(docs, usable)
     sums = (
         in_small_batches(labelled.select("lang", "text"))
         .mapInPandas(_bundles, "lang string, sums array<bigint>")
@@ -178,24 +175,24 @@ def predict(docs: DataFrame, learned: dict[str, np.ndarray]) -> DataFrame:
     return told.withColumn("lang_pred", F.col(f"{found}.lang")).withColumn("lang_score", F.col(f"{found}.score")).drop(found)
 
 
-def least_score(docs: DataFrame, learned: dict[str, np.ndarray], max_train: int = 20_000) -> float:
-    """Half the least score of a labelled document, of those learned from, that is told rightly."""
-    told = predict(_labelled(docs, F.lit(True), max_train).select("lang", "text"), learned)
+def least_score(docs: DataFrame, learned: dict[str, np.ndarray]) -> float:
+    """Half the least score of a labelled document that is told rightly."""
+    told = predict(_labelled(docs, F.lit(True)).select("lang", "text"), learned)
     right = told.filter(F.col("lang") == F.col("lang_pred")).agg(F.min("lang_score").alias("least")).first()["least"]
     return (right or 0.0) / 2
 
 
-def known_language(docs: DataFrame, min_score: float | None = None, **options) -> DataFrame:
+def known_language(docs: DataFrame, min_score: float | None = None) -> DataFrame:
     """The rows of ``docs`` whose language is told with ``min_score`` at least; their columns only.
 
     By default the least score is learned (`least_score`). Where no row has a language,
     nothing is learned, and all texts with a letter stay.
     """
-    learned = learn(docs, F.lit(True), **options)
+    learned = learn(docs, F.lit(True))
     if not learned:
         letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
         return docs.filter(letter)
-    least = least_score(docs, learned, **options) if min_score is None else min_score
+    least = least_score(docs, learned) if min_score is None else min_score
     found = _unused("lang_found", docs.columns)
     told = in_small_batches(docs).withColumn(found, _guess(learned))
     kept = told.filter((F.col(f"{found}.lang") != UNKNOWN) & (F.col(f"{found}.score") >= least))

@@ -70,6 +70,21 @@ def test_least_score_and_nothing_learned(spark):
     assert {r.doc_id for r in langid.known_language(none).collect()} == {r[0] for r in rows}
 
 
+def test_all_labelled_documents_are_learned_from(spark):
+    n = 21_000
+    late = F.pmod(F.xxhash64("doc_id"), F.lit(n)) >= 20_000
+    docs = spark.range(n).withColumnRenamed("id", "doc_id").select(
+        "doc_id",
+        F.when(late, "zwölf Boxkämpfer").otherwise("a cat on the mat").alias("text"),
+        F.when(late, "de").otherwise("en").alias("lang"),
+    )
+    learned = langid.learn(docs, F.lit(True))
+    assert set(learned) == {"de", "en"}
+    weak = docs.withColumn("text", F.when(late & (F.col("doc_id") % 2 == 0), "zwölf 7 xx").otherwise(F.col("text")))
+    score = langid.predict(weak, learned).filter("lang = lang_pred").agg(F.min("lang_score")).first()[0]
+    assert langid.least_score(weak, learned) == pytest.approx(score / 2)
+
+
 def test_memory_of_many_letters():
     rng = random.Random(1)
     texts = ["".join(chr(0x4E00 + rng.randrange(20_000)) for _ in range(100)) for _ in range(1000)]
