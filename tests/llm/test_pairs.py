@@ -257,3 +257,31 @@ def test_hits_against_brute_force(spark, monkeypatch, piece):
     assert {r.doc_id for r in clean.collect()} == {r[0] for r in rows} - {d for d, _ in expected}
     assert decontaminate.clean_documents(docs, given.limit(0)).count() == len(rows)
     assert decontaminate.test_hits(docs.limit(0), given).count() == 0
+
+
+def test_group_tells_few_links_of_many():
+    n = 60
+    shingles = [np.array(sorted({*range(100)} - {i}), np.int32) for i in range(n)]
+    names = np.arange(n, dtype=np.int64)
+    asking = pd.DataFrame({"group": 7, "share": 0, "set": names, "root": names, "shingles": shingles, "refuted": None})
+    inside = asking[["group", "share", "set", "root", "shingles"]].add_prefix("member_")
+    found = jaccard._opened(80)(asking, inside)
+    assert len(found) == n - 1 and set(found["group"]) == {7} and set(found["share"]) == {0}
+    at = list(range(n))
+    for a, b in zip(found["a"], found["b"]):
+        at = [at[a] if x == at[b] else x for x in at]
+    assert len(set(at)) == 1
+
+
+def test_refuted_pair_hides_no_link(spark):
+    """Halves of hashes say that all are linked, whole ones that every second one is."""
+    members = [(s, 1, 1, [(i << 32) + s % 2 for i in range(40 + s // 2)]) for s in range(8)]
+    held = spark.createDataFrame(members, "`set` long, cluster long, company long, shingles array<long>")
+    blocks = spark.createDataFrame([(5, s[0]) for s in members], "key long, `set` long")
+    first = spark.createDataFrame([], "node long, root long")
+    links = {(r.a, r.b) for r in jaccard._links_between(blocks, held, first, 80).collect()}
+    assert all(a % 2 == b % 2 for a, b in links)
+    at = {s: s for s in range(8)}
+    for a, b in links:
+        at = {s: at[a] if x == at[b] else x for s, x in at.items()}
+    assert len(set(at.values())) == 2
