@@ -6,6 +6,7 @@ import pytest
 from conftest import TESTDATA
 from pyspark.sql import functions as F
 
+from fireledger.operators import numbering
 from fireledger.operators.numbering import BITS, number_by_content
 from fireledger.plans import refresh as refreshing
 from fireledger.plans.refresh import read_aggregates, refresh, refresh_from_files
@@ -264,3 +265,21 @@ def test_rows_that_break_a_rule_stop_the_write(spark, row, rule):
         overwrite_tables(spark, name, {"continent": bad}, rules=True)
     assert rows(read_tables(spark, name)["continent"]) == [("150", "Europe")]
     assert overwrite_tables(spark, name, {"continent": bad})["continent"].count() == 2
+
+
+def test_buckets_of_a_partitioned_table_follow_its_files(spark, warehouse, monkeypatch):
+    fact = warehouse[0]["gas_emission"]
+    files = sum(r[0] for r in spark.read.format("binaryFile").load(fact.inputFiles()).select("length").collect())
+    assert files <= numbering._bytes(fact) < files * 1.1 and numbering._digits(files) < 5
+    ids = fact.withColumn("n", F.lit(1))
+
+    def placed():
+        return numbering.place_by_content(ids, "year", [F.col("id")], "n")
+
+    plan = placed()._jdf.queryExecution().sparkPlan().toString().splitlines()
+    assert any("md5" in x for x in plan) and not any("_digest" in x and "Exchange" in x for x in plan)
+    few = {(r["id"], r["first_number"]) for r in placed().collect()}
+    monkeypatch.setattr(numbering, "TASK", 1000)
+    monkeypatch.setattr(numbering, "BUCKET", 1000)
+    assert f", {-(-numbering._bytes(fact) // 1000)})" in placed()._jdf.queryExecution().executedPlan().toString()
+    assert {(r["id"], r["first_number"]) for r in placed().collect()} == few
