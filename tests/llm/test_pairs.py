@@ -285,3 +285,56 @@ def test_refuted_pair_hides_no_link(spark):
     for a, b in links:
         at = {s: at[a] if x == at[b] else x for s, x in at.items()}
     assert len(set(at.values())) == 2
+
+
+def copies_with_edits(rng, words, n, edits, length=60):
+    base = [rng.choice(words) for _ in range(length)]
+    for _ in range(n):
+        copy = list(base)
+        for _ in range(rng.choice(edits)):
+            copy[rng.randrange(length)] = rng.choice(words)
+        yield " ".join(copy)
+
+
+def test_large_blocks_ask_little(spark, monkeypatch):
+    """Near copies that agree in some parts but differ in too many for a link ask no group."""
+    rng, asked, stored = random.Random(5), [], jaccard.stored
+
+    def spy(df):
+        kept = stored(df)
+        if set(kept.columns) == {"set", "root", "group"}:
+            asked.append(kept.count())
+        return kept
+
+    monkeypatch.setattr(jaccard, "stored", spy)
+    monkeypatch.setattr(jaccard, "GROUP", 8)
+    words = [f"W{i}" for i in range(300)]
+    rows = list(enumerate(copies_with_edits(rng, words, 400, [5, 6, 7])))
+    docs = spark.createDataFrame([(*r, "clash", 1) for r in rows], DOCS)
+    got = {tuple(r) for r in jaccard.similar_components(docs, 5, 80).collect()}
+    assert got == brute_components(rows, 5, 80)
+    assert asked[0] < 2 * len(rows)
+
+
+@pytest.mark.parametrize("width, percent", [(4, 85), (5, 80), (3, 60)])
+def test_linked_sets_meet_in_their_rarest_blocks(spark, width, percent):
+    rng = random.Random(percent)
+    words = [f"W{i}" for i in range(300)]
+    texts = [*near_copies(rng, words, 150), *copies_with_edits(rng, words, 60, [0, 1, 2, 3, 4])]
+    docs = spark.createDataFrame([(i, t, "", 1) for i, t in enumerate(texts)], DOCS)
+    sets = {jaccard.set_id(s): s for s in jaccard._sets_of(pd.Series(texts), width)}
+    rows = jaccard.set_blocks(docs, width, percent).distinct()
+    sizes = rows.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
+    kind = "`set` long, spare array<int>"
+    held = spark.createDataFrame([(n, jaccard.spare_parts(s, percent)) for n, s in sets.items()], kind)
+    at, before = collections.defaultdict(set), rows.join(sizes, "key")
+    for r in jaccard._rarest(before, held).collect():
+        at[r["set"]].add(r["key"])
+    assert sum(map(len, at.values())) < before.count()
+    linked = 0
+    for a, b in [(a, b) for a in sets for b in sets if a < b]:
+        both = len(np.intersect1d(sets[a], sets[b]))
+        if both * (100 + percent) >= (len(sets[a]) + len(sets[b])) * percent:
+            linked += 1
+            assert at[a] & at[b]
+    assert linked > 30
